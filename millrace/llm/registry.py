@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from millrace.llm import mixing
+from millrace.llm import line_dedup, mixing
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op9_mixing": mixing.op9_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
+}
