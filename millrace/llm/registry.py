@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from millrace.llm import line_dedup, mixing
+from millrace.llm import line_dedup, media, mixing
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op9_mixing": mixing.op9_mixing,
+    "op10_media": media.op10_media,
 }
 
 ORACLES: dict[str, str] = {
