@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from millrace.llm import line_dedup, media, mixing
+from millrace.llm import line_dedup, media, mixing, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op6_warc": warc.op6_warc,
     "op9_mixing": mixing.op9_mixing,
     "op10_media": media.op10_media,
 }
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": line_dedup.OP1_SQL,
+    "op6_warc": warc.OP6_SQL,
 }
