@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from millrace.llm import line_dedup, media, mixing, warc
+from millrace.llm import line_dedup, media, mixing, quality, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op3_quality": quality.op3_quality,
     "op6_warc": warc.op6_warc,
     "op9_mixing": mixing.op9_mixing,
     "op10_media": media.op10_media,
