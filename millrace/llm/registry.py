@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from millrace.llm import line_dedup, media, mixing, quality, warc
+from millrace.llm import line_dedup, media, mixing, near_dedup, quality, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op3_quality": quality.op3_quality,
+    "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_warc": warc.op6_warc,
     "op9_mixing": mixing.op9_mixing,
     "op10_media": media.op10_media,
