@@ -124,7 +124,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> Da
     same = placed.join(several, "doc_id").select(F.col("rep").alias("u"), F.col("lo").alias("v"))
     links = materialise(_confirmed(stars, fetched, percent).unionAll(same), "near-links")
     components = connected_components(links)
-    links = materialise(links.unionAll(_confirmed(_open_pairs(members, components, stars), fetched, percent)), "near-links")
+    links = materialise(links.unionAll(_confirmed(_open_pairs(members, components, stars, percent), fetched, percent)), "near-links")
     components = connected_components(links)
     found = placed.select("doc_id", "n_shingles", "rep").join(components, F.col("rep") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     alone = signed.where("set_hash IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -139,7 +139,7 @@ def _fetch_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return rows.select("set_hash", "text").mapInArrow(lambda b: _with_sets(b, width), "set_hash binary, shingles array<bigint>").dropDuplicates(["set_hash"])
 
 
-def _open_pairs(members: DataFrame, components: DataFrame, done: DataFrame) -> DataFrame:
+def _open_pairs(members: DataFrame, components: DataFrame, done: DataFrame, percent: int) -> DataFrame:
     """The pairs of sets that share a bucket, are in different components and haven't been compared."""
     placed = members.join(components, F.col("rep") == F.col("node"), "left").select("band", "set_hash", "rep", "n_shingles", F.coalesce("component", "rep").alias("c"))
     per = placed.groupBy("band", "c").agg(F.count(F.lit(1)).alias("n"))
@@ -148,7 +148,7 @@ def _open_pairs(members: DataFrame, components: DataFrame, done: DataFrame) -> D
     open_ = main.where("parts > 1 AND all > 2").select("band", F.col("top.c").alias("top"))
     left = materialise(placed.join(open_, "band"), "near-open")
     minor, every = left.where("c <> top").alias("x"), left.alias("y")
-    pairs = minor.join(every, (F.col("x.band") == F.col("y.band")) & (F.col("x.c") != F.col("y.c")) & (F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * 80))
+    pairs = minor.join(every, (F.col("x.band") == F.col("y.band")) & (F.col("x.c") != F.col("y.c")) & (F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * percent))
     ordered = pairs.select(F.least(F.struct("x.set_hash", "x.rep", "x.n_shingles"), F.struct("y.set_hash", "y.rep", "y.n_shingles")).alias("p"), F.greatest(F.struct("x.set_hash", "x.rep", "x.n_shingles"), F.struct("y.set_hash", "y.rep", "y.n_shingles")).alias("q"))
     fresh = ordered.select(F.col("p.set_hash").alias("a"), F.col("q.set_hash").alias("b"), F.col("p.rep").alias("ra"), F.col("q.rep").alias("rb"), F.col("p.n_shingles").alias("na"), F.col("q.n_shingles").alias("nb")).distinct()
     compared = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
