@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from millrace.llm import licenses, line_dedup, media, mixing, near_dedup, quality, warc
+from millrace.llm import decontamination, licenses, line_dedup, media, mixing, near_dedup, quality, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_licenses": licenses.op2_licenses,
     "op3_quality": quality.op3_quality,
+    "op4_decontamination": decontamination.op4_decontamination,
     "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_warc": warc.op6_warc,
     "op9_mixing": mixing.op9_mixing,
