@@ -31,7 +31,7 @@ SCALES = (2, 4)
 BLOCK_PASSAGES = 2048
 RANK, OVERSAMPLING, ROUNDS = 128, 16, 2
 #: Cosine from which a window is a candidate for a passage.
-MIN_COSINE = 0.18
+MIN_COSINE = 0.14
 #: Share of the passage's words in order in the document: enough alone, and enough with the answer found.
 MIN_LCS, MIN_LCS_WITH_ANSWER = 0.8, 0.7
 #: Share of the answer's words that must be there in order.
