@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import chat, decontamination, licenses, line_dedup, media, mixing, near_dedup, quality, warc
+from millrace.llm import chat, decontamination, licenses, line_dedup, lm_scoring, media, mixing, near_dedup, quality, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_decontamination": decontamination.op4_decontamination,
     "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_warc": warc.op6_warc,
+    "op7_lm_scoring": lm_scoring.op7_lm_scoring,
     "op8_chat": chat.op8_chat,
     "op9_mixing": mixing.op9_mixing,
     "op10_media": media.op10_media,
