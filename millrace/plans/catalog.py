@@ -1,26 +1,371 @@
-"""The registered queries of the core operators and their oracle SQL."""
+"""The registered queries of the core operators over the test tables, and the DuckDB SQL that must give the same rows."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions import keys, parsing, techniques, text, transforms
+from millrace.operators import conversations, planning, relational, telemetry
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def build_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select(F.col("text"), F.lit("documents").alias("dataset_type"))
-    bench = _table(spark, sf_dir, "benchmark").select(F.col("text"), F.lit("benchmark").alias("dataset_type"))
-    conv = _table(spark, sf_dir, "conversations").select(F.col("text"), F.lit("conversations").alias("dataset_type"))
-    return docs.unionByName(bench).unionByName(conv).groupBy("dataset_type").agg(F.count(F.lit(1)).alias("n"))
+def query(oracle: str | None = None, name: str | None = None):
+    def add(f):
+        QUERIES[name or f.__name__] = f
+        if oracle:
+            ORACLES[name or f.__name__] = oracle
+        return f
+
+    return add
+
+
+# -- scans, unions, keys -----------------------------------------------------------------------------------------------
+
+
+@query("""
+SELECT 'documents' AS dataset_type, count(*) AS n FROM documents
+UNION ALL SELECT 'benchmark', count(*) FROM benchmark UNION ALL SELECT 'conversations', count(*) FROM conversations
+UNION ALL SELECT 'labelled', count(*) FILTER (quality = 1) FROM labels""")
+def build_union(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("text", "source")
+    labelled = _table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "True").otherwise("False").alias("accepted"))
+    parts = [relational.Part(docs, "documents"), relational.Part(_table(spark, sf_dir, "benchmark"), "benchmark"), relational.Part(_table(spark, sf_dir, "conversations"), "conversations"), relational.Part(labelled, "labelled", True)]
+    return relational.union_parts(parts).groupBy("dataset_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT text, CAST(doc_id AS VARCHAR) AS doc_id, NULL::VARCHAR AS role, 'documents' AS dataset_type FROM documents
+UNION ALL SELECT text, NULL, role, 'conversations' FROM conversations""")
+def union_by_name(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("text", F.col("doc_id").cast("string").alias("doc_id"))
+    return relational.union_parts([relational.Part(docs, "documents"), relational.Part(_table(spark, sf_dir, "conversations").select("text", "role"), "conversations")])
+
+
+@query("SELECT doc_id, substr(md5(text), 1, 16) AS sample_id FROM documents")
+def content_id(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", keys.content_id("text").alias("sample_id"))
+
+
+@query("""
+SELECT doc_id, CASE WHEN given IS NULL OR trim(given) = '' OR lower(trim(given)) = 'nan' THEN substr(md5(text), 1, 16) ELSE trim(given) END AS sample_id
+FROM (SELECT doc_id, text, CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN ' NaN ' WHEN 2 THEN '' ELSE ' id' || doc_id || ' ' END AS given FROM documents)""")
+def row_id(spark, sf_dir):
+    given = F.expr("CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN ' NaN ' WHEN 2 THEN '' ELSE ' id' || doc_id || ' ' END")
+    return _table(spark, sf_dir, "documents").withColumn("given", given).select("doc_id", keys.row_id("text", "given").alias("sample_id"))
+
+
+@query("SELECT doc_id, substr(sha256('42::' || doc_id || '::0'), 1, 16) AS seed_hex FROM documents")
+def stable_seed(spark, sf_dir):
+    seed = keys.stable_seed(F.lit("42"), F.col("doc_id").cast("string"), F.lit("0"))
+    return _table(spark, sf_dir, "documents").select("doc_id", F.lower(F.lpad(F.conv(seed.cast("string"), 10, 16), 16, "0")).alias("seed_hex"))
+
+
+@query("SELECT doc_id, strpos('0123456789abcdef', right(sha256('42:' || doc_id || ':1'), 1)) - 1 AS bucket FROM documents")
+def hash_bucket(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", keys.hash_bucket(16, F.lit("42"), F.col("doc_id").cast("string"), F.lit("1")).alias("bucket"))
+
+
+@query("SELECT DISTINCT conv_id, CAST(turn AS INTEGER) AS turn FROM conversations")
+def keys_in(spark, sf_dir):
+    from millrace.sources.artifacts import keys_in as distinct_keys
+
+    return distinct_keys(_table(spark, sf_dir, "conversations"), {"conv_id": "bigint", "turn": "int"})
+
+
+# -- filters, dedup, joins, windows ------------------------------------------------------------------------------------
+
+
+@query("SELECT min(doc_id) AS doc_id, substr(md5(text), 1, 16) AS sample_id FROM documents GROUP BY text")
+def dedup_first_wins(spark, sf_dir):
+    return relational.first_wins(_table(spark, sf_dir, "documents").select("doc_id", keys.content_id("text").alias("sample_id")), "sample_id", "doc_id")
+
+
+@query("""
+SELECT doc_id, lang, source FROM (SELECT doc_id, lang, source, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS n
+FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL) WHERE n <= 2""")
+def take_per_group(spark, sf_dir):
+    return relational.take_per_group(_table(spark, sf_dir, "documents").select("doc_id", "lang", "source"), 2, "doc_id", ("lang", "source"))
+
+
+@query("""
+SELECT min(doc_id) AS doc_id, substr(md5(text), 1, 16) AS sample_id FROM documents d
+WHERE doc_id % 2 = 1 AND text NOT IN (SELECT text FROM documents WHERE doc_id % 2 = 0) GROUP BY text""")
+def append_new(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    existing = docs.where("doc_id % 2 = 0").select(keys.content_id("text").alias("sample_id"))
+    return relational.append_new(existing, docs.where("doc_id % 2 = 1"), text="text", order="doc_id").select("doc_id", "sample_id")
+
+
+@query("SELECT d.doc_id AS sample_id, 0 AS iteration FROM documents d WHERE doc_id % 3 <> 0 AND EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def pending_units(spark, sf_dir):
+    plan = relational.with_iterations(_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("sample_id")), 1)
+    return relational.pending(plan, _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("sample_id")), plan.where("sample_id % 3 = 0"))
+
+
+@query("SELECT count(*) AS missing FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def inputs_without_plan(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels"), "doc_id", "left_anti").agg(F.count(F.lit(1)).alias("missing"))
+
+
+@query("SELECT sample_id, arg_max(doc_id, doc_id) AS doc_id FROM (SELECT substr(md5(text), 1, 16) AS sample_id, doc_id FROM documents) GROUP BY sample_id")
+def last_input(spark, sf_dir):
+    return relational.last_input(_table(spark, sf_dir, "documents").select(keys.content_id("text").alias("sample_id"), "doc_id"), "doc_id")
+
+
+@query("SELECT doc_id, i AS iteration FROM documents, range(3) t(i)")
+def iterations(spark, sf_dir):
+    return relational.with_iterations(_table(spark, sf_dir, "documents").select("doc_id"), 3).select("doc_id", F.col("iteration").cast("bigint").alias("iteration"))
+
+
+@query("SELECT c.doc_id, p.doc_id AS parent_id FROM documents c JOIN documents p ON substr(md5(c.text), 1, 16) = substr(md5(p.text), 1, 16)")
+def lineage(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", keys.content_id("text").alias("sample_id"))
+    joined = relational.lineage(docs.select("doc_id", F.col("sample_id").alias("input_id")), docs)
+    return joined.select("doc_id", F.col("parent.doc_id").alias("parent_id"))
+
+
+@query("SELECT quality, count(*) AS extracted, count(*) FILTER (toxic = 1) AS n_accepted, count(*) FILTER (toxic <> 1) AS n_rejected, count(*) FILTER (toxic = 1) / count(*)::DOUBLE AS rate FROM labels GROUP BY quality")
+def acceptance_rate(spark, sf_dir):
+    return relational.acceptance(_table(spark, sf_dir, "labels"), ("quality",), F.col("toxic") == 1)
+
+
+@query("SELECT count(*) AS rows, count(*) FILTER (quality = 1) AS accepted FROM labels WHERE toxic = 0")
+def file_counts(spark, sf_dir):
+    rows = _table(spark, sf_dir, "labels").withColumn("accepted", F.when(F.col("quality") == 1, "True").otherwise("no"))
+    return relational.file_counts(rows, {"toxic": 0})
+
+
+@query("""
+SELECT lang, source, doc_id, position, floor(0.33 * position + 0.25) > floor(0.33 * (position - 1) + 0.25) AS include
+FROM (SELECT lang, source, doc_id, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS position FROM documents)""")
+def deal_targets(spark, sf_dir):
+    rows = _table(spark, sf_dir, "documents").select("lang", "source", "doc_id")
+    return relational.deal_targets(rows, 0.33, F.lit(0.25), "doc_id", ("lang", "source")).withColumn("position", F.col("position").cast("bigint"))
+
+
+# -- coverage, plan, registry ------------------------------------------------------------------------------------------
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{t.name}', '{t.layer}', {t.complexity})" for t in techniques.technique_pool(pure_only=True)) + ") t(technique, layer, complexity)")
+def pure_pool(spark, sf_dir):
+    return techniques.registry_frame(spark, techniques.technique_pool(pure_only=True)).select("technique", "layer", "complexity")
+
+
+@query()
+def incompatible_pairs(spark, sf_dir):
+    return techniques.incompatible_pairs(spark)
+
+
+def _inputs(spark, sf_dir) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("sample_id"), F.col("lang").alias("category"), F.col("source").alias("entry_type"))
+
+
+@query()
+def augmentation_plan(spark, sf_dir):
+    return planning.plan(_inputs(spark, sf_dir), techniques.technique_pool(pure_only=True), rounds=planning.ESCALATION)
+
+
+_PICKS = ("to_rot13", "to_uppercase", "to_abbreviations", "to_summarize")
+
+
+@query("""
+WITH p AS (SELECT lang AS category, source AS entry_type, unnest(CASE WHEN doc_id % 2 = 0 THEN ['to_rot13', 'to_summarize'] ELSE ['to_uppercase'] END) AS t FROM documents),
+r(technique, family, layer) AS (VALUES ('to_rot13', 'encode', 'obfuscation'), ('to_uppercase', 'casual_writing', 'obfuscation'), ('to_abbreviations', 'casual_writing', 'obfuscation'), ('to_summarize', 'indirect', 'requests')),
+j AS (SELECT * FROM p JOIN r ON t = technique),
+x AS (SELECT 'technique' AS level, technique AS name, category, entry_type FROM j UNION ALL SELECT 'family', family, category, entry_type FROM j UNION ALL SELECT 'layer', layer, category, entry_type FROM j)
+SELECT level, name, category, entry_type, '0' AS iteration, count(*)::BIGINT AS count FROM x GROUP BY ALL
+UNION ALL SELECT 'technique', 'to_abbreviations', NULL, NULL, NULL, 0""")
+def technique_coverage(spark, sf_dir):
+    plan = _inputs(spark, sf_dir).withColumn("iteration", F.lit(0)).withColumn("combination", F.when(F.col("sample_id").cast("bigint") % 2 == 0, F.array(F.lit("to_rot13"), F.lit("to_summarize"))).otherwise(F.array(F.lit("to_uppercase"))))
+    registry = techniques.registry_frame(spark, [t for t in techniques.all_techniques() if t.name in _PICKS])
+    return relational.coverage(plan, registry).withColumn("iteration", F.col("iteration").cast("string"))
 
 
-QUERIES = {"build_union": build_union}
-ORACLES = {
-    "build_union": """
-        SELECT 'documents' AS dataset_type, count(*) AS n FROM documents
-        UNION ALL SELECT 'benchmark', count(*) FROM benchmark
-        UNION ALL SELECT 'conversations', count(*) FROM conversations""",
+# -- telemetry ---------------------------------------------------------------------------------------------------------
+
+
+def _calls(spark, sf_dir) -> DataFrame:
+    return _table(spark, sf_dir, "events").select(
+        F.lit("call").alias("ev"), F.col("event_type").alias("model"), F.when(F.col("user_id") % 3 == 0, "vllm").otherwise("api").alias("backend"), F.lit(1).alias("n_items"),
+        F.col("user_id").alias("in_tok"), F.col("event_id").alias("out_tok"), F.lit(0.5).alias("ms"), (F.col("event_id") % 7 == 0).alias("cut"), F.when(F.col("event_id") % 11 == 0, "timeout").alias("error"), F.lit("outputs").alias("stage"),
+    )
+
+
+@query("""
+SELECT event_type AS model, count(*) AS calls, count(*)::BIGINT AS items, sum(user_id)::BIGINT AS in_tok, sum(event_id)::BIGINT AS out_tok, sum(0.5::DOUBLE) AS ms,
+       count(*) FILTER (event_id % 7 = 0) AS cut, count(*) FILTER (event_id % 11 = 0) AS errors, count(*) FILTER (user_id % 3 <> 0) AS hosted,
+       CASE WHEN event_type IN ('click', 'view') AND count(*) FILTER (user_id % 3 <> 0) > 0 THEN
+         round(coalesce(sum(user_id) FILTER (user_id % 3 <> 0), 0) / 1e6 * 0.2 + coalesce(sum(event_id) FILTER (user_id % 3 <> 0), 0) / 1e6 * CASE event_type WHEN 'click' THEN 0.9 ELSE 0.0 END, 4) END AS cost_usd
+FROM events GROUP BY event_type""")
+def usage_rollup(spark, sf_dir):
+    prices = spark.createDataFrame([("click", 0.2, 0.9), ("view", 0.2, None)], "model string, price_in double, price_out double")
+    return telemetry.usage(_calls(spark, sf_dir), prices)
+
+
+@query("SELECT 'outputs' AS stage, event_type AS model, count(*) AS n FROM events WHERE event_id % 7 = 0 GROUP BY event_type")
+def cut_replies(spark, sf_dir):
+    return telemetry.cut_replies(_calls(spark, sf_dir))
+
+
+@query("SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW) AS in_window FROM events")
+def sliding_window(spark, sf_dir):
+    return telemetry.window_count(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id"), 3600, ("user_id",)).select("event_id", "in_window")
+
+
+@query("""
+WITH s AS (SELECT user_id, (epoch_us(ts) // 1000000) AS s, (epoch_us(ts) // 1000000) + CAST(floor(value) AS BIGINT) * 60 AS e FROM events),
+w AS (SELECT *, max(e) OVER (PARTITION BY user_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM s)
+SELECT user_id, CAST(sum(greatest(e - greatest(s, coalesce(r, s)), 0)) AS DOUBLE) AS covered_s FROM w GROUP BY user_id""")
+def interval_union(spark, sf_dir):
+    start = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000000).cast("double")
+    return telemetry.covered_seconds(_table(spark, sf_dir, "events"), start, start + F.floor("value") * 60, ("user_id",))
+
+
+# -- transcripts -------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT conv_id, arg_min(text, turn) FILTER (role = 'user') AS first_message, arg_max(text, turn) FILTER (role = 'assistant') AS last_reply FROM conversations GROUP BY conv_id")
+def first_last_turn(spark, sf_dir):
+    return conversations.edges_of_turns(_table(spark, sf_dir, "conversations"))
+
+
+@query("SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript FROM conversations WHERE text IS NOT NULL GROUP BY conv_id")
+def render_transcript(spark, sf_dir):
+    return conversations.render_turns(_table(spark, sf_dir, "conversations"))
+
+
+# -- verdicts, cleaning, parsing ---------------------------------------------------------------------------------------
+
+_REPLY = "CASE conv_id % 6 WHEN 0 THEN '**Yes**, it is' WHEN 1 THEN '> ok.' WHEN 2 THEN 'Yesterday' WHEN 3 THEN '\"Passed\"' WHEN 4 THEN 'Verdict: yes' ELSE text END"
+
+
+@query(f"""
+WITH r AS (SELECT conv_id, turn, {_REPLY} AS reply FROM conversations),
+v AS (SELECT *, lower(regexp_extract(reply, '^[\\s*_#>"''`“”‘’]*([\\pL\\pN]+)', 1)) IN ('yes', 'ok', 'okay', 'accept', 'accepted', 'pass', 'passed') AS accepted FROM r)
+SELECT conv_id, turn, accepted, CASE WHEN accepted THEN '' ELSE reply END AS reasoning FROM v""")
+def verdict(spark, sf_dir):
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr(_REPLY).alias("reply"))
+    return rows.select("conv_id", "turn", text.verdict("reply").alias("v")).select("conv_id", "turn", "v.*")
+
+
+@query("SELECT conv_id, string_agg(n || '. ' || text, chr(10) ORDER BY n) AS listed FROM (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations) GROUP BY conv_id")
+def ordinal_list(spark, sf_dir):
+    rows = _table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t"))
+    return rows.select("conv_id", text.ordinal_list(F.col("t.text")).alias("listed"))
+
+
+@query("SELECT item_id, 'Task ' || item_id || ': {' || text || '} end' AS message FROM benchmark")
+def render_template(spark, sf_dir):
+    rows = _table(spark, sf_dir, "benchmark")
+    return rows.select("item_id", text.render(F.lit("Task {id}: {{{body}}} end"), id=F.col("item_id"), body=F.col("text")).alias("message"))
+
+
+@query()
+def clean_sample(spark, sf_dir):
+    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", text.clean_sample(F.concat(F.lit("**"), F.col("text"), F.lit("** `x` <|im_end|>"))).alias("cleaned"))
+
+
+@query("SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS pos, regexp_replace(text, '^[\\s]+|[\\s]+$', '', 'g') AS item FROM conversations WHERE text <> ''")
+def numbered_list(spark, sf_dir):
+    listed = ordinal_list(spark, sf_dir)
+    return listed.lateralJoin(parsing.NumberedList(F.col("listed").outer(), F.lit(True))).select("conv_id", "pos", "item")
+
+
+@query("SELECT item_id, 'Topic ' || item_id AS category, 'Part' AS subcategory, 'sample ' || item_id AS sample, 0 AS pos FROM benchmark")
+def outline_entries(spark, sf_dir):
+    reply = F.concat(F.lit("# title\n## 1. **Topic "), F.col("item_id"), F.lit("**\n### 1.1 Part:\n- (sample "), F.col("item_id"), F.lit(")\n- not one\n## broken\n- (lost)\n[END]"))
+    return parsing.outline_rows(_table(spark, sf_dir, "benchmark").select("item_id", reply.alias("reply"))).select("item_id", "category", "subcategory", "sample", "pos")
+
+
+# -- transforms --------------------------------------------------------------------------------------------------------
+
+_CHARS = "list_filter(string_split(text, ''), lambda c: c <> '')"
+
+
+def _sql_map(table: dict[str, str]) -> str:
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    return "MAP {" + ", ".join(f"{quote(k)}: {quote(v)}" for k, v in table.items()) + "}"
+
+
+def _by_char(table: dict[str, str], sep: str = "", key: str = "c") -> str:
+    return f"array_to_string(list_transform({_CHARS}, lambda c: coalesce({_sql_map(table)}[{key}], c)), '{sep}')"
+
+
+def _translate(a: str, b: str) -> str:
+    return "translate(text, '" + a.replace("'", "''") + "', '" + b.replace("'", "''") + "')"
+
+
+_U, _L, _D, _P = transforms._UPPER, transforms._LOWER, transforms._DIGITS, transforms._PRINTABLE
+_TRANSFORM_SQL = {
+    "to_rot13": _translate(_U + _L, _U[13:] + _U[:13] + _L[13:] + _L[:13]),
+    "to_rot18": _translate(_U + _L + _D, _U[13:] + _U[:13] + _L[13:] + _L[:13] + _D[5:] + _D[:5]),
+    "to_rot47": _translate(_P, _P[47:] + _P[:47]),
+    "to_unicode_escape": f"array_to_string(list_transform({_CHARS}, lambda c: '\\u' || lpad(lower(to_hex(unicode(c))), greatest(4, length(to_hex(unicode(c)))::INTEGER), '0')), '')",
+    "to_ascii_ordinal": f"array_to_string(list_transform({_CHARS}, lambda c: unicode(c)::VARCHAR), ' ')",
+    "to_leetspeak_basic": _by_char(transforms._leet(transforms.LEET_BASIC)),
+    "to_leetspeak_intermediate": _by_char(transforms._leet(transforms.LEET_INTERMEDIATE)),
+    "to_leetspeak_advanced": _by_char(transforms._leet(transforms.LEET_ADVANCED)),
+    "to_morse": _by_char(transforms.MORSE, " ", "upper(c)"),
+    "to_braille": _translate(_L + _U, transforms.BRAILLE * 2),
+    "to_lowercase": "lower(text)",
+    "to_uppercase": "upper(replace(text, 'ß', 'SS'))",
+    "to_dropped_punctuation": "regexp_replace(text, '[.,;:!?'']+([^\\d.,;:!?'']|$)', '\\1', 'g')",
+    "to_base64": None,
+    "to_no_sentence_capitals": None,
+    "to_doubled_punctuation": None,
+    "to_abbreviations": None,
 }
+
+
+def _transform(name: str):
+    return lambda spark, sf_dir: _table(spark, sf_dir, "conversations").select("conv_id", "turn", transforms.EXPRESSIONS[name](F.col("text")).alias("result"))
+
+
+for _name, _sql in _TRANSFORM_SQL.items():
+    query(f"SELECT conv_id, turn, {_sql} AS result FROM conversations" if _sql else None, _name)(_transform(_name))
+
+
+def _seeded(name: str):
+    def run(spark, sf_dir):
+        rows = _table(spark, sf_dir, "conversations")
+        seed = keys.stable_seed(F.lit("42"), F.col("conv_id").cast("string"), F.col("turn").cast("string"), F.lit(name)).cast("string")
+        return rows.select("conv_id", "turn", transforms.seeded_transform(F.lit(name), F.col("text"), seed).alias("r")).select("conv_id", "turn", F.col("r.text").alias("result"), F.col("r.info").alias("info"))
+
+    return run
+
+
+for _name in transforms.SEEDED:
+    if _name != "to_ascii_art":
+        query(None, _name)(_seeded(_name))
+
+
+@query("""
+SELECT item_id, 'v' || (strpos('0123456789abcdef', substr(md5(text), 1, 1)) - 1) % 1 || ' ' || text AS new_text FROM benchmark""")
+def template_transform(spark, sf_dir):
+    wordings = transforms.template_table(spark, {"note": ["v0 {prompt}"]})
+    rows = _table(spark, sf_dir, "benchmark").select("item_id", "text", F.lit("note").alias("directive"), F.col("item_id").cast("string").alias("seed"))
+    return transforms.apply_templates(rows, wordings).select("item_id", "new_text")
+
+
+@query()
+def run_chain(spark, sf_dir):
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", F.lit("42").alias("seed"), F.col("conv_id").alias("sample_id"), F.col("turn").alias("iteration"), F.array(F.lit("to_uppercase"), F.lit("to_separator"), F.lit("to_rot13")).alias("combination"))
+    return transforms.run_chains(rows, most=3).select("conv_id", "turn", "result", "info")
+
+
+@query("""
+SELECT item_id, regexp_replace(text, '(?i)(' || w || ')', array_to_string(list_filter(string_split(w, ''), lambda c: c <> ''), '-'), 'g') AS result
+FROM (SELECT item_id, text, regexp_extract(text, '[A-Za-z]+') AS w FROM benchmark)""")
+def selective_edit(spark, sf_dir):
+    rows = _table(spark, sf_dir, "benchmark").withColumn("w", F.array(F.regexp_extract("text", "[A-Za-z]+", 0)))
+    return rows.select("item_id", transforms.separated_words(F.col("text"), F.col("w"), "-").alias("result"))
+
