@@ -6,7 +6,9 @@ seed gives the same text everywhere. Template transforms join a table of wording
 
 from __future__ import annotations
 
+import base64
 import random
+import re
 import unicodedata
 from collections.abc import Callable
 
@@ -273,29 +275,76 @@ def with_shots(text: pd.Series, shots: pd.Series, seed: pd.Series, where: pd.Ser
 DISCARDED = "DISCARDED"
 
 
-def run_chains(plan: DataFrame, *, text: str = "text", combination: str = "combination", seed_parts: tuple[str, ...] = ("seed", "sample_id", "iteration"), most: int = 6) -> DataFrame:
+def _each(text: str, table: dict[str, str], sep: str = "") -> str:
+    return sep.join(table.get(c, c) for c in text)
+
+
+def _small_openings(text: str) -> str:
+    out, opening, ended = [], True, False
+    for c in text:
+        out.append(c.lower() if opening and c in _UPPER else c)
+        opening, ended = (ended or opening and bool(out[:-1])) and c.isspace(), c in ".!?" or (ended and c.isspace())
+    return "".join(out)
+
+
+def _by_neighbours(text: str, rule: Callable[[str, str, str], str]) -> str:
+    return "".join(rule(before, c, after) for before, c, after in zip(" " + text, text, text[1:] + " "))
+
+
+#: The expressions once more, for chains that run in a worker; tests hold the two against each other.
+IN_PYTHON: dict[str, Callable[[str], str]] = {
+    "to_base64": lambda t: base64.encodebytes(t.encode()).decode(),
+    "to_rot13": lambda t: t.translate(str.maketrans(_UPPER + _LOWER, _rotated(_UPPER, 13) + _rotated(_LOWER, 13))),
+    "to_rot18": lambda t: t.translate(str.maketrans(_UPPER + _LOWER + _DIGITS, _rotated(_UPPER, 13) + _rotated(_LOWER, 13) + _rotated(_DIGITS, 5))),
+    "to_rot47": lambda t: t.translate(str.maketrans(_PRINTABLE, _rotated(_PRINTABLE, 47))),
+    "to_unicode_escape": lambda t: "".join("\\u%04x" % ord(c) for c in t),
+    "to_ascii_ordinal": lambda t: " ".join(map(str, map(ord, t))),
+    "to_leetspeak_basic": lambda t: _each(t, _leet(LEET_BASIC)),
+    "to_leetspeak_intermediate": lambda t: _each(t, _leet(LEET_INTERMEDIATE)),
+    "to_leetspeak_advanced": lambda t: _each(t, _leet(LEET_ADVANCED)),
+    "to_morse": lambda t: _each(t, MORSE | {k.lower(): v for k, v in MORSE.items()}, " "),
+    "to_braille": lambda t: t.translate(str.maketrans(_LOWER + _UPPER, BRAILLE * 2)),
+    "to_lowercase": str.lower,
+    "to_uppercase": str.upper,
+    "to_no_sentence_capitals": _small_openings,
+    "to_dropped_punctuation": lambda t: _by_neighbours(t, lambda _, c, after: "" if c in ".,;:!?'" and not after.isdigit() else c),
+    "to_doubled_punctuation": lambda t: _by_neighbours(t, lambda before, c, after: c * 2 if c in ".!?" and before not in ".!?" and after.isspace() else c),
+    "to_abbreviations": lambda t: re.sub(r"\w+", lambda w: ABBREVIATIONS.get(w[0].lower(), w[0]), t),
+}
+
+
+def run_chain(text: str, combination: list[str], seed_parts: tuple) -> tuple[str, str]:
+    """(text, info) after the techniques in order, each with random numbers of its own. A technique that isn't known
+    here ends the chain with the text before it."""
+    infos = []
+    for name in combination:
+        if name in IN_PYTHON:
+            new, info = IN_PYTHON[name](text), ""
+        elif name in SEEDED:
+            new, info = SEEDED[name](text, random.Random(seed_of(*seed_parts, name)))
+        else:
+            return text, f"{DISCARDED}; technique={name}"
+        infos.append(f"noop={name}" if new == text else info)
+        text = new
+    return text, ";".join(i for i in infos if i)
+
+
+def run_chains(plan: DataFrame, *, text: str = "text", combination: str = "combination", seed_parts: tuple[str, ...] = ("seed", "sample_id", "iteration")) -> DataFrame:
     """Runs each row's combination (array of technique names) over its text; adds result and info.
 
-    Steps are columns, so a chain is one pass. Expressions and seeded techniques run here; any other name is left to
-    the template and model steps and rejects the row here: the result is the text before it and info begins with
-    DISCARDED. A step that changes nothing notes noop=<name>. Combinations of more than `most` techniques are refused.
+    A plan has another chain in every row, so chains run as one Arrow-batched function; a single technique over a
+    column is better served by EXPRESSIONS. Template and model techniques are steps of their own and reject the row
+    here: the result is the text before and info begins with DISCARDED. A step that changes nothing notes noop=<name>.
+    A null text gives nulls.
     """
-    out = plan.withColumn("result", F.col(text)).withColumn("_infos", F.array().cast("array<string>")).withColumn("_bad", F.when(F.size(combination) > most, F.lit("too many techniques")))
-    for k in range(most):
-        name = F.get(F.col(combination), F.lit(k))
-        seed = F.conv(F.substring(F.sha2(F.concat_ws("::", *[F.col(p).cast("string") for p in seed_parts], name), 256), 1, 16), 16, 10)
-        known = name.isin(*EXPRESSIONS, *SEEDED)
-        step = F.col("result")
-        for technique, expression in EXPRESSIONS.items():
-            step = F.when(name == technique, expression(F.col("result"))).otherwise(step)
-        out = out.withColumn("_n", name).withColumn("_s", seeded_transform(name, F.col("result"), F.coalesce(seed, F.lit("0"))))
-        out = out.withColumn("_bad", F.when(F.col("_bad").isNull() & F.col("_n").isNotNull() & ~known, F.concat(F.lit("technique="), F.col("_n"))).otherwise(F.col("_bad")))
-        new = F.when(F.col("_bad").isNotNull() | F.col("_n").isNull(), F.col("result")).when(F.col("_s.info").isNotNull(), F.col("_s.text")).otherwise(step)
-        note = F.when(F.col("_bad").isNotNull() | F.col("_n").isNull(), F.lit(None)).when(F.col("_new") == F.col("result"), F.concat(F.lit("noop="), F.col("_n"))).otherwise(F.col("_s.info"))
-        out = out.withColumn("_new", new).withColumn("_i", note)
-        out = out.withColumn("_infos", F.when(F.coalesce("_i", F.lit("")) != "", F.concat("_infos", F.array("_i"))).otherwise(F.col("_infos"))).withColumn("result", F.col("_new")).drop("_n", "_s", "_new", "_i")
-    info = F.when(F.col("_bad").isNotNull(), F.concat(F.lit(f"{DISCARDED}; "), F.col("_bad"))).otherwise(F.array_join("_infos", ";"))
-    return out.withColumn("info", info).drop("_infos", "_bad")
+
+    @F.pandas_udf(_TEXT_INFO)
+    def chains(texts: pd.Series, names: pd.Series, *parts: pd.Series) -> pd.DataFrame:
+        rows = [(None, None) if t is None else run_chain(t, list(n if n is not None else ()), p) for t, n, *p in zip(texts, names, *parts)]
+        return pd.DataFrame(rows, columns=["text", "info"])
+
+    done = plan.withColumn("_r", chains(F.col(text), F.col(combination), *[F.col(p).cast("string") for p in seed_parts]))
+    return done.withColumn("result", F.col("_r.text")).withColumn("info", F.col("_r.info")).drop("_r")
 
 
 __all__ = ["EXPRESSIONS", "SEEDED", "apply_templates", "edit_words", "run_chains", "seed_of", "seeded_choice", "seeded_transform", "template_table", "with_shots", "wrapped"]

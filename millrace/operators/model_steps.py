@@ -65,6 +65,7 @@ def call_model(requests: DataFrame, transport: Transport, *, batch_size: int = 3
     Rows of a model are brought together, calls go out in batches of batch_size over `lanes` threads, in order. A call
     that raises gives its rows an error and no reply; error_kind tells a prompt that was too long.
     """
+    requests = requests.drop("reply", "error", "error_kind")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema) + ", reply string, error string, error_kind string"
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -101,7 +102,7 @@ def checked(rows: DataFrame, generate: Callable[[DataFrame], DataFrame], check:
     keep = rows.columns
     for attempt in range(1, attempts + 1):
         made = save(generate(open_).withColumnRenamed("reply", "text").select(*keep, "text", "error", "error_kind"), f"generated-{attempt}")
-        tested = save(check(made.where("error IS NULL")).select(*keep, "text", "reply"), f"checked-{attempt}")
+        tested = save(check(made.where("error IS NULL").select(*keep, "text")).select(*keep, "text", "reply"), f"checked-{attempt}")
         judged = tested.withColumn("v", verdict("reply")).select(*keep, "text", F.col("v.accepted").alias("accepted"), F.col("v.reasoning").alias("reasoning"), F.lit(None).cast("string").alias("error"))
         failed = made.where("error IS NOT NULL").select(*keep, F.lit("").alias("text"), F.lit(False).alias("accepted"), F.lit("").alias("reasoning"), "error")
         ended = judged if attempt == attempts else judged.where("accepted")

@@ -359,7 +359,7 @@ def template_transform(spark, sf_dir):
 @query()
 def run_chain(spark, sf_dir):
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", F.lit("42").alias("seed"), F.col("conv_id").alias("sample_id"), F.col("turn").alias("iteration"), F.array(F.lit("to_uppercase"), F.lit("to_separator"), F.lit("to_rot13")).alias("combination"))
-    return transforms.run_chains(rows, most=3).select("conv_id", "turn", "result", "info")
+    return transforms.run_chains(rows).select("conv_id", "turn", "result", "info")
 
 
 @query("""
