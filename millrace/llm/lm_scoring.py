@@ -3,11 +3,11 @@
 N-grams are 64-bit hashes. Documents are taken in blocks of up to BLOCK_TOKENS words; a block is a row that holds its
 documents' words packed. Each block sends its distinct n-grams with their counts to the hash partition that owns them,
 a row per (block, partition), packed. A partition adds the counts up to its part of the count table, drops n-grams
-below `min_count` and answers every block with the counts of the block's own n-grams. Joined with these, a block scores
-its n-grams and sums per document.
+below `min_count` and answers every block with counts, in the order of the n-grams that the block sent. Joined with
+these, a block scores its n-grams and sums per document.
 
-So an n-gram crosses the network once per block that holds it, in about 6 bytes, instead of once per occurrence as a
-row. A frequent n-gram is one entry per block; the number of partitions grows with the corpus, and what a task holds is
+So an n-gram crosses the network once per block that holds it, in about 6 bytes, and its count in less than one, instead
+of once per occurrence as a row. A frequent n-gram is one entry per block; the number of partitions grows with the corpus, and what a task holds is
 one block or one partition.
 """
 
@@ -113,9 +113,10 @@ def _sent(batches: Iterable[pa.RecordBatch], order: int, partitions: int) -> Ite
     for batch in batches:
         for row in batch.to_pylist():
             words, first = _words_of(row)
+            place = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first))
             for n in range(1, order + 1):
                 hashes = ngrams(words, first, n)
-                keys, counts = np.unique(hashes[hashes != 0], return_counts=True)
+                keys, counts = np.unique(hashes[place >= n - 1], return_counts=True)
                 cut = np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
                 some = np.flatnonzero(np.diff(cut))
                 yield pa.RecordBatch.from_arrays(
@@ -124,11 +125,12 @@ def _sent(batches: Iterable[pa.RecordBatch], order: int, partitions: int) -> Ite
                 )
 
 
-_ANSWERS = "block bigint, n int, keys binary, counts binary"
+_ANSWERS = "block bigint, n int, partition bigint, counts binary"
 
 
 def _answers(rows: pa.Table, min_count: int) -> pa.Table:
-    """The counts of a hash partition: of each block's n-grams, those that the table keeps (of words, all)."""
+    """The counts of a hash partition, for each block in the order of the n-grams that it sent; 0 for what the table
+    does not keep."""
     out: list[tuple] = []
     sent = rows.to_pylist()
     for n in sorted({r["n"] for r in sent}):
@@ -139,10 +141,8 @@ def _answers(rows: pa.Table, min_count: int) -> pa.Table:
         for block, own, _ in mine:
             counts = total[inverse[at : at + len(own)]]
             at += len(own)
-            keep = counts >= (min_count if n > 1 else 1)
-            if keep.any():
-                out.append((block, n, _pack_sorted(own[keep]), _pack(counts[keep])))
-    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            out.append((block, n, sent[0]["partition"], _pack(np.where(counts >= (min_count if n > 1 else 1), counts, 0))))
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
     return pa.table([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=[x.split()[0] for x in _ANSWERS.split(", ")])
 
 
@@ -150,39 +150,29 @@ _SCORES = "doc_id bigint, n_words bigint, log_prob double"
 
 
 def _scores(blocks: pa.Table, answers: pa.Table, order: int, backoff: float, total: int) -> pa.Table:
-    held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    parts = answers.to_pylist()
+    counts: dict[int, np.ndarray] = {}
+    parts = sorted(answers.to_pylist(), key=lambda r: r["partition"])
     for n in range(1, order + 1):
-        mine = [(_unpack_sorted(r["keys"]), _unpack(r["counts"], np.int64)) for r in parts if r["n"] == n]
-        keys = np.concatenate([np.empty(0, _U), *[k for k, _ in mine]])
-        by = np.argsort(keys, kind="stable")
-        held[n] = keys[by], np.concatenate([np.empty(0, np.int64), *[c for _, c in mine]])[by]
-
-    def count(n: int, hashes: np.ndarray) -> np.ndarray:
-        keys, counts = held[n]
-        if not len(keys):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-        return np.where((keys[at] == hashes) & (hashes != 0), counts[at], 0)
+        counts[n] = np.concatenate([np.zeros(0, np.int64), *[_unpack(r["counts"], np.int64) for r in parts if r["n"] == n]])
 
     ids, sizes, sums = [], [], []
     for row in blocks.to_pylist():
         words, first = _words_of(row)
-        context = np.full(len(words), total, np.float64)
-        score, fall = np.zeros(len(words)), 0.0
+        context, score = np.full(len(words), total, np.float64), np.zeros(len(words))
         place = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first))
         for n in range(1, order + 1):
-            found = count(n, ngrams(words, first, n))
             possible = place >= n - 1
+            found = np.zeros(len(words), np.int64)
+            # the block's own n-grams in order, as it sent them
+            found[possible] = counts[n][np.unique(ngrams(words, first, n)[possible], return_inverse=True)[1]]
             seen = found > 0
             better = np.log(np.maximum(found, 1)) - np.log(np.maximum(context, 1))
-            score = np.where(seen, better, score + np.where(possible & (n > 1), np.log(backoff), fall))
+            score = np.where(seen, better, score + np.where(possible & (n > 1), np.log(backoff), 0.0))
             # the count of the context of the next order's n-grams: this order's n-gram one word before
             context = np.concatenate(([0.0], found[:-1].astype(np.float64))) if len(found) else context
-        running = np.concatenate(([0.0], np.cumsum(score)))
         ids += row["doc_ids"]
         sizes += row["sizes"]
-        sums += [float(score[a:b].sum()) if b - a < 1000 else float(running[b] - running[a]) for a, b in zip(first[:-1], first[1:])]
+        sums += [float(score[a:b].sum()) for a, b in zip(first[:-1], first[1:])]
     return pa.table([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())], names=["doc_id", "n_words", "log_prob"])
 
 
