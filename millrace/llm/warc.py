@@ -141,7 +141,11 @@ def parse_record(data: bytes, at: int) -> tuple[int, dict[str, str], bytes]:
     if not head:
         raise Damage("header")
     headers = {}
-    for line in head[1].decode("utf-8", "replace").splitlines():
+    try:
+        fields = head[1].decode()
+    except UnicodeDecodeError:
+        raise Damage("header") from None
+    for line in fields.splitlines():
         key, _, value = line.partition(":")
         headers[key.strip().lower()] = value.strip()
     length = headers.get("content-length", "")
