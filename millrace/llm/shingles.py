@@ -7,9 +7,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text that are hashed at a time.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 _U = np.uint64
 
 
@@ -72,15 +73,15 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
 
 
 def text_chunks(batch: pa.RecordBatch, column: int, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
-    """(first row, texts as bytes) of up to chunk_bytes; null is empty, a longer text a chunk of its own."""
+    """(first row, texts as bytes) of up to chunk_bytes; null is empty, a longer text a chunk of its own. Only one
+    chunk's texts are held as Python objects."""
     values = batch.column(column).cast(pa.binary())
-    start, held, texts = 0, 0, []
-    for k, value in enumerate(values.to_pylist()):
-        value = value or b""
-        if texts and held + len(value) > chunk_bytes:
-            yield start, texts
-            start, held, texts = k, 0, []
-        texts.append(value)
-        held += len(value)
-    if texts:
-        yield start, texts
+    if not len(values):
+        return
+    sizes = np.asarray(pc.fill_null(pc.binary_length(values), 0))
+    start, held = 0, 0
+    for k, size in enumerate([*sizes.tolist(), None]):
+        if size is None or (k > start and held + size > chunk_bytes):
+            yield start, [x or b"" for x in values.slice(start, k - start).to_pylist()]
+            start, held = k, 0
+        held += size or 0
