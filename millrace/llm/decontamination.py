@@ -3,8 +3,9 @@
 The benchmark's items are cut into passages of up to 64 words. Their TF-IDF matrix, with document frequencies over all
 documents, is factored by a distributed randomised SVD: each round multiplies the passages' Gram matrix with a thin
 matrix, partition by partition, and only that thin matrix (terms of a block of passages by rank) comes to the driver.
-Documents' windows of 32 and 64 words are folded into the latent space and compared by cosine with the passages. A
-candidate is confirmed by the longest common subsequence of words, and a paraphrase, which keeps fewer of them, by the
+Documents' windows of 32 and 64 words are folded into the latent space and compared by cosine with the passages. What
+the leading directions do not hold is found by its rare words: of a passage's rarest words, so many must be in any text
+that could be confirmed that PREFIX_HITS of them are left after all that may be missing. A candidate is confirmed by the longest common subsequence of words, and a paraphrase, which keeps fewer of them, by the
 passage's answer as well: that is its last sentence, or the column `answer` where the benchmark has one.
 
 Searching is a map over whole documents, without a shuffle. The benchmark is the query set: it is taken in blocks of
@@ -34,6 +35,8 @@ RANK, OVERSAMPLING, ROUNDS = 128, 16, 2
 MIN_COSINE = 0.14
 #: Share of the passage's words in order in the document: enough alone, and enough with the answer found.
 MIN_LCS, MIN_LCS_WITH_ANSWER = 0.8, 0.7
+#: Rare words of a passage that a window must hold to be a candidate whatever its cosine, where the passage has enough.
+PREFIX_HITS = 3
 #: Share of the answer's words that must be there in order.
 MIN_ANSWER = 0.8
 #: Passages of fewer words are too short to tell and are not searched.
@@ -154,6 +157,22 @@ def randomised_svd(passages: DataFrame, vocabulary: np.ndarray, idf: np.ndarray,
     return basis @ inner[:, order]
 
 
+def rare_prefix(term: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, int]:
+    """The passage's rarest terms, and how many of them are in every text whose LCS with it is enough: PREFIX_HITS, or
+    what all its terms give. term has the passage's words in order."""
+    kinds, times = np.unique(term, return_counts=True)
+    order = np.lexsort((kinds, -idf[kinds]))
+    kinds, times = kinds[order], times[order]
+    spare = max(k for k in range(len(term) + 1) if (len(term) - k) / len(term) >= MIN_LCS_WITH_ANSWER)
+    sure = 0
+    for k in range(1, len(kinds) + 1):
+        # a term is gone when all its words are: the cheapest go first
+        sure = k - int(np.searchsorted(np.cumsum(np.sort(times[:k])), spare, "right"))
+        if sure >= PREFIX_HITS:
+            return kinds[:k], sure
+    return kinds, sure
+
+
 class Index:
     """A block of passages in the latent space, and the search of texts against it."""
 
@@ -162,10 +181,32 @@ class Index:
         self.squares, self.unseen = (idf**2).astype(np.float32), np.float32(unseen**2)
         self.fold = (idf[:, None] * vectors).astype(np.float32)
         latent = np.zeros((len(passages), vectors.shape[1]), np.float32)
+        self.sure = np.zeros(len(passages), np.int64)
+        rare = []
         for k, p in enumerate(passages):
-            latent[k] = self.fold[_lookup(vocabulary, np.array(p.words, np.uint64))].sum(axis=0)
+            term = _lookup(vocabulary, np.array(p.words, np.uint64))
+            latent[k] = self.fold[term].sum(axis=0)
+            prefix, self.sure[k] = rare_prefix(term, idf)
+            rare.append(np.stack((prefix, np.full(len(prefix), k))))
+        terms, holders = np.concatenate(rare, axis=1)
+        self.holders = holders[np.argsort(terms, kind="stable")]
+        self.holders_at = np.concatenate(([0], np.cumsum(np.bincount(terms, minlength=len(vocabulary)))))
         self.latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
 
+    def _by_rare_words(self, cell: np.ndarray, term: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, passage) of the largest scale, by the cell it begins at, where the window and the cells next to it
+        hold enough rare words. cell and term are the terms that cells hold; low and high are the cells of a cell's
+        document."""
+        many = self.holders_at[term + 1] - self.holders_at[term]
+        cell = np.repeat(cell, many)
+        passage = self.holders[np.arange(len(cell)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.holders_at[term], many)]
+        window = cell[:, None] + np.arange(-SCALES[-1], 2)
+        inside = (window >= low[cell][:, None]) & (window < high[cell][:, None])
+        both, times = np.unique((window * len(self.passages) + passage[:, None])[inside], return_counts=True)
+        window, passage = np.divmod(both, len(self.passages))
+        enough = times >= self.sure[passage]
+        return window[enough], passage[enough]
+
     def candidates(self, texts: list[bytes]) -> Iterator[tuple[int, int, int, int, np.ndarray, float]]:
         """(text, passage, first and last word of the window, the text's words, cosine)."""
         words, first = _words(texts)
@@ -191,6 +232,7 @@ class Index:
             some = place == k
             vector[held_cell[some]] += self.fold[held[some]]
         document, end = np.repeat(np.arange(len(texts)), cells), np.repeat(base[1:], cells)
+        rare = self._by_rare_words(held_cell, held, np.repeat(base[:-1], cells), end)
         here, reach = np.arange(base[-1]), 1
         for scale in SCALES:
             while reach < scale:
@@ -200,7 +242,10 @@ class Index:
                 reach *= 2
             length = np.sqrt(np.maximum(norm, 1e-9)).astype(np.float32)
             product = vector @ self.latent.T
-            for c, p in np.argwhere(product >= MIN_COSINE * length[:, None]):
+            near = product >= MIN_COSINE * length[:, None]
+            if scale == SCALES[-1]:
+                near[rare] = True
+            for c, p in np.argwhere(near):
                 d = document[c]
                 low = first[d] + (c - base[d]) * CELL_WORDS
                 yield d, p, max(first[d], low - CELL_WORDS), min(first[d + 1], low + (scale + 1) * CELL_WORDS), words, float(product[c, p] / length[c])

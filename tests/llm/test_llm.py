@@ -263,6 +263,41 @@ def test_leaks(spark):
     assert decontamination.contaminated(frame.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("every", [10**6, 6])
+def test_leaks_of_a_large_benchmark(spark, every):
+    """Spans of documents as a benchmark of far more items than the rank, planted as they are or with words replaced:
+    what is found is what the LCS of every window finds."""
+    rng = random.Random(8)
+    frame = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").where("doc_id < 4000")
+    docs = [r.text.split() for r in frame.orderBy("doc_id").collect() if r.text and len(r.text.split()) > 120]
+    items = []
+    for k in range(1000):
+        words = docs[k % len(docs)]
+        low = rng.randrange(len(words) - 40)
+        items.append((k, " ".join(words[low : low + 40])))
+    planted = []
+    for k in range(0, 1000, 3):
+        host = docs[rng.randrange(len(docs))][:60]
+        planted.append((k, " ".join([*host[:30], *(w if j % every != 3 else f"zz{rng.random()}" for j, w in enumerate(items[k][1].split())), *host[30:]])))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    (index,) = decontamination.build_indexes(frame, bench)
+    cell, answer_of = decontamination.CELL_WORDS, {p.item_id: p for p in index.passages}
+    want = set()
+    for k, text in planted:
+        words = decontamination._word_list(text)
+        for p in answer_of.values():
+            if len(set(words) & set(p.words)) < 0.5 * len(set(p.words)):
+                continue
+            for low in range(0, len(words), cell):
+                region = words[max(0, low - cell) : low + 5 * cell]
+                share = decontamination.lcs_length(p.words, region) / len(p.words)
+                if share >= 0.8 or share >= 0.7 and decontamination.lcs_length(p.answer, region) >= 0.8 * len(p.answer):
+                    want.add((k, p.item_id))
+    got = {(k, item) for (k, _), hits in zip(planted, index.search([t.encode() for _, t in planted])) for item in hits}
+    assert len(want) >= len(planted)
+    assert want == got
+
+
 # -- WARC --------------------------------------------------------------------------------------------------------------
 
 
