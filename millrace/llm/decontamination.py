@@ -8,6 +8,9 @@ the leading directions do not hold is found by its rare words: of a passage's ra
 that could be confirmed that PREFIX_HITS of them are left after all that may be missing. A candidate is confirmed by the longest common subsequence of words, and a paraphrase, which keeps fewer of them, by the
 passage's answer as well: that is its last sentence, or the column `answer` where the benchmark has one.
 
+Items of fewer than MIN_WORDS words are searched as phrases, word by word. In scripts that are written without spaces
+every character is a word.
+
 Searching is a map over whole documents, without a shuffle. The benchmark is the query set: it is taken in blocks of
 BLOCK_PASSAGES passages, which bounds what a task holds.
 """
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm._common import materialise, table
-from millrace.llm.shingles import text_chunks, word_hashes
+from millrace.llm.shingles import mix, text_chunks, word_hashes
 
 PASSAGE_WORDS, CELL_WORDS = 64, 16
 #: Windows are so many cells long and begin at every cell.
@@ -39,14 +42,32 @@ MIN_LCS, MIN_LCS_WITH_ANSWER = 0.8, 0.7
 PREFIX_HITS = 3
 #: Share of the answer's words that must be there in order.
 MIN_ANSWER = 0.8
-#: Passages of fewer words are too short to tell and are not searched.
+#: Items of fewer words are too short for shares of words: they are held where all their words follow each other.
 MIN_WORDS = 8
+#: Phrases of a block.
+BLOCK_PHRASES = 1 << 16
 #: Bytes that separate words: all of ASCII but digits and letters.
 _BREAKS = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
+#: Bytes that begin characters from U+0800 on.
+_FAR = re.compile(rb"[\xe0-\xff]")
+#: Characters of scripts without spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, Tai, Javanese, Yi, kana, bopomofo, Han.
+_UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u1b00-\u1b7f\u2e80-\u2fdf\u3005-\u3007\u3021-\u302f\u3031-\u303c\u3040-\u30fa\u30fc-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\ua4cf\ua980-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U00016fe0-\U00018dff\U0001b000-\U0001b16f\U00020000-\U0003ffff]")
+#: Their spaces and punctuation.
+_WIDE_BREAKS = re.compile("[\u3000-\u3004\u3008-\u3020\u3030\u303d-\u303f\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
+_SENTENCE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])|\n")
+
+
+def _plain(text: bytes) -> bytes:
+    if text.isascii():
+        return text.translate(_BREAKS)
+    lower = text.decode("utf-8", "replace").lower()
+    if _FAR.search(text):
+        lower = _UNSPACED.sub(r" \g<0> ", _WIDE_BREAKS.sub(" ", lower))
+    return lower.encode().translate(_BREAKS)
 
 
 def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return word_hashes([(t if t.isascii() else t.decode("utf-8", "replace").lower().encode()).translate(_BREAKS) for t in texts])
+    return word_hashes([_plain(t) for t in texts])
 
 
 def _word_list(text: str | None) -> list[int]:
@@ -78,10 +99,10 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, parts, words, answers = [], [], [], []
         for item, text, answer in zip(*(c.to_pylist() for c in batch.columns)):
             found = _word_list(text)
-            if len(found) < MIN_WORDS:
+            if not found:
                 continue
             if answer is None:
-                answer = next((x for x in reversed(re.split(r"(?<=[.!?])\s+|\n", text)) if _word_list(x)), "")
+                answer = next((x for x in reversed(_SENTENCE.split(text)) if _word_list(x)), "")
             step = PASSAGE_WORDS // 2
             for part, low in enumerate(range(0, max(1, len(found) - step), step) if len(found) > PASSAGE_WORDS else [0]):
                 items.append(item)
@@ -92,8 +113,8 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def passages_of(benchmark: DataFrame) -> DataFrame:
-    """(item_id, part, words, answer), words as packed hashes; items with a null id or fewer than MIN_WORDS words have
-    none. Reads item_id, text and, if there is one, answer."""
+    """(item_id, part, words, answer), words as packed hashes; items with a null id or without words have none.
+    Reads item_id, text and, if there is one, answer."""
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     rows = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("bigint"), "text", answer.alias("answer"))
     return rows.mapInArrow(_cut, "item_id bigint, part int, words binary, answer binary").distinct()
@@ -270,17 +291,68 @@ class Index:
         return found
 
 
-def build_indexes(docs: DataFrame, benchmark: DataFrame, *, rank: int = RANK) -> list[Index]:
-    """An index for each block of passages; none for a benchmark without passages."""
-    passages = materialise(passages_of(benchmark), "bench-passages")
-    blocks = -(-passages.count() // BLOCK_PASSAGES)
-    out = []
+class Phrases:
+    """A block of items of fewer than MIN_WORDS words, and the search of texts for them."""
+
+    def __init__(self, passages: list[Passage]):
+        self.factors = np.random.default_rng(104).integers(0, 1 << 64, MIN_WORDS, np.uint64) | np.uint64(1)
+        held: dict[int, dict[int, list[Passage]]] = {}
+        for p in passages:
+            key = int(self._rolled(np.array(p.words, np.uint64), len(p.words))[0])
+            held.setdefault(len(p.words), {}).setdefault(key, []).append(p)
+        self.held = {n: (np.array(sorted(keys), np.uint64), [keys[k] for k in sorted(keys)]) for n, keys in held.items()}
+
+    def _rolled(self, words: np.ndarray, n: int) -> np.ndarray:
+        """A hash for each n words in a row."""
+        out = np.zeros(len(words) - n + 1, np.uint64)
+        for k in range(n):
+            out += words[k : k + len(out)] * self.factors[k]
+        return mix(out)
+
+    def search(self, texts: list[bytes]) -> list[dict[int, tuple[float, float, float]]]:
+        """As Index.search: cosine and share of words of what is there word by word are 1."""
+        found: list[dict[int, tuple[float, float, float]]] = [{} for _ in texts]
+        words, first = _words(texts)
+        for n, (keys, members) in self.held.items():
+            if len(words) < n:
+                continue
+            rolled = self._rolled(words, n)
+            at = np.minimum(np.searchsorted(keys, rolled), len(keys) - 1)
+            place = np.flatnonzero(keys[at] == rolled)
+            text = np.searchsorted(first, place, "right") - 1
+            for w, d in zip(place.tolist(), text.tolist()):
+                if w + n > first[d + 1]:
+                    continue
+                for p in members[at[w]]:
+                    best = found[d].get(p.item_id)
+                    if best and (best[2] == 1.0 or not p.answer) or words[w : w + n].tolist() != p.words:
+                        continue
+                    region = words[max(first[d], w - CELL_WORDS) : min(first[d + 1], w + n + CELL_WORDS)].tolist()
+                    answer = lcs_length(p.answer, region) / len(p.answer) if p.answer else 0.0
+                    found[d][p.item_id] = max(best or (1.0, 1.0, 0.0), (1.0, 1.0, answer))
+        return found
+
+
+def _held(rows: DataFrame) -> list[Passage]:
+    return [Passage(r.item_id, np.frombuffer(r.words, np.uint64).tolist(), np.frombuffer(r.answer, np.uint64).tolist()) for r in rows.orderBy("item_id", "part").collect()]
+
+
+def build_indexes(docs: DataFrame, benchmark: DataFrame, *, rank: int = RANK) -> list[Index | Phrases]:
+    """An index for each block of passages and of phrases; none for a benchmark without words."""
+    every = materialise(passages_of(benchmark), "bench-passages")
+    short = F.octet_length("words") < 8 * MIN_WORDS
+    passages, phrases = every.where(~short), every.where(short)
+    blocks, phrase_blocks = -(-passages.count() // BLOCK_PASSAGES), -(-phrases.count() // BLOCK_PHRASES)
+    out: list[Index | Phrases] = []
+    for block in range(phrase_blocks):
+        held = _held(phrases.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(phrase_blocks)) == block))
+        if held:
+            out.append(Phrases(held))
     for block in range(blocks):
         mine = passages.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(blocks)) == block)
-        rows = mine.orderBy("item_id", "part").collect()
-        if not rows:
+        held = _held(mine)
+        if not held:
             continue
-        held = [Passage(r.item_id, np.frombuffer(r.words, np.uint64).tolist(), np.frombuffer(r.answer, np.uint64).tolist()) for r in rows]
         vocabulary = np.unique(np.concatenate([np.array(p.words, np.uint64) for p in held]))
         counted = docs.select("text").mapInArrow(lambda b, v=vocabulary: _document_counts(b, v), "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
         n, seen = dict(zip(counted["term"], counted["n"])), np.zeros(len(vocabulary))
@@ -295,7 +367,7 @@ def build_indexes(docs: DataFrame, benchmark: DataFrame, *, rank: int = RANK) ->
 _FOUND = "doc_id bigint, item_id bigint, cosine double, lcs double, answer double"
 
 
-def _hits(index: Index) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _hits(index: Index | Phrases) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in text_chunks(batch, 1):
@@ -323,7 +395,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("cosine", "lcs", "answer")])
 
 
-def _clean(index: Index, column: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _clean(index: Index | Phrases, column: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             clean = [not hits for _, texts in text_chunks(batch, column) for hits in index.search(texts)]

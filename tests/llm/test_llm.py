@@ -298,6 +298,19 @@ def test_leaks_of_a_large_benchmark(spark, every):
     assert want == got
 
 
+def test_leaks_of_short_items_and_scripts_without_spaces(spark):
+    items = [(1, "Why is grass green?"), (2, "为什么天空是蓝色的？请说明主要的原因。"), (3, "水的沸点"), (4, "ทำไมท้องฟ้าจึงเป็นสีฟ้า"), (5, "Zyzzyva"), (6, "なぜ、空は青いのですか。"), (7, "?!"), (8, "two words")]
+    rows = [
+        (10, "He asked: why is GRASS green, and left."), (20, "她问道，为什么天空是蓝色的？请说明主要的原因。谢谢你们大家。"), (21, "她问道，为什么天空是蓝色的？请告诉主要的原因。谢谢你们大家。"), (30, "请问水的沸点是多少"), (40, "เขาถามว่าทำไมท้องฟ้าจึงเป็นสีฟ้าครับ"), (50, "a zyzzyva"),
+        (60, "彼は「なぜ空は青いのですか」と聞いた"), (None, "two  words"), (90, "why is green grass; two"), (91, "words 点沸的水"), (92, "是蓝的 天空"), (93, "two other words"), (94, ""), (95, None),
+    ]
+    docs, bench = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, bench).collect()}
+    assert got == {(10, 1), (20, 2), (21, 2), (30, 3), (40, 4), (50, 5), (60, 6), (None, 8)}
+    assert {r.doc_id for r in decontamination.decontaminate(docs, bench).collect()} == {90, 91, 92, 93, 94, 95}
+    assert {(r.doc_id, r.lcs, r.answer) for r in decontamination.contaminated(docs, bench.where("item_id = 1").withColumn("answer", F.lit("left"))).collect()} == {(10, 1.0, 1.0)}
+
+
 # -- WARC --------------------------------------------------------------------------------------------------------------
 
 
