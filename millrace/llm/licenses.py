@@ -73,9 +73,12 @@ NAMES = (
     ("openrail", "openrail", "(?:bigscience |creativeml )?openrail(?: m)?", "openrail"),
 )
 
+#: The keyword of forms around {spdx}, which needs none of a name's words.
+SPDX = "spdx license identifier"
+
 #: How a name becomes rules: expression around {name} or {spdx}, priority (0 is best), confidence.
 FORMS = (
-    ("spdx license identifier {spdx}", 1, 0.99),
+    (SPDX + " {spdx}", 1, 0.99),
     ("(?:licensed|released|distributed|available|provided|published|offered) under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{name}(?: licen[cs]e)?", 1, 0.95),
     ("{name} licen[cs]e", 2, 0.8),
     ("see (?:the )?{name}(?: licen[cs]e)? for (?:more )?details", 3, 0.6),
@@ -113,7 +116,7 @@ class Rule:
 
 def default_rules() -> tuple[Rule, ...]:
     base = [Rule(phrase, phrase, label, 0, 1.0, True) for phrase, label in BASE]
-    named = [Rule(keyword, form.format(name=name, spdx=spdx), label, priority, confidence) for form, priority, confidence in FORMS for label, keyword, name, spdx in NAMES]
+    named = [Rule(SPDX if "{spdx}" in form else keyword, form.format(name=name, spdx=spdx), label, priority, confidence) for form, priority, confidence in FORMS for label, keyword, name, spdx in NAMES]
     return (*base, *(Rule(*single) for single in SINGLE), *named)
 
 

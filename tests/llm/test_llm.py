@@ -1,6 +1,7 @@
 """The training-data operators against brute force, exact round trips and held-out accuracy."""
 
 import hashlib
+import itertools
 import json
 import math
 import random
@@ -110,6 +111,44 @@ def test_licenses(spark):
     assert {k: norm(v) for k, v in got.items()} == {k: norm(v) for k, v in want.items()}
 
 
+def wordings(expression):
+    """All texts that an expression of groups, alternatives, classes and bounded repeats matches; of a class of more than
+    three characters only the first."""
+
+    def every(nodes):
+        out = [""]
+        for op, value in nodes:
+            kind = str(op)
+            if kind == "LITERAL":
+                some = [chr(value)]
+            elif kind == "IN":
+                some = [chr(c) for k, v in value for c in ([v] if str(k) == "LITERAL" else range(v[0], min(v[1], v[0]) + 1))]
+            elif kind == "SUBPATTERN":
+                some = every(value[3])
+            elif kind == "BRANCH":
+                some = [x for branch in value[1] for x in every(branch)]
+            elif kind == "MAX_REPEAT":
+                each = every(value[2])
+                some = [x for n in range(value[0], value[1] + 1) for x in map("".join, itertools.product(each, repeat=n))]
+            else:
+                raise ValueError(kind)
+            out = [a + b for a in out for b in some]
+        return out
+
+    return every(re._parser.parse(expression))
+
+
+def test_keywords_are_in_all_that_rules_match():
+    missing = {(r.keyword, r.expression) for r in licenses.default_rules() if not all(re.fullmatch(r.expression, x) and r.keyword in x for x in wordings(r.expression))}
+    assert missing == set()
+
+
+def test_license_tags_alone(spark):
+    texts = [(k, f"SPDX-License-Identifier: {wordings(spdx)[0]}", label) for k, (label, _, _, spdx) in enumerate(licenses.NAMES)]
+    got = {r.doc_id: {d.label for d in r.detections} for r in licenses.scan(spark.createDataFrame(texts, "doc_id bigint, text string, label string")).collect()}
+    assert all(label in got[k] for k, _, label in texts)
+
+
 def test_licenses_odd(spark):
     got = licenses.scan(odd_documents(spark)).collect()
     assert len(got) == 9 and all(r.detections == [] for r in got)
