@@ -1,7 +1,8 @@
 """Chat formatting with tool-call linking.
 
 A message is plain text, or JSON: an assistant's {"tool_calls": [{"id", "name", "arguments"}], "content"}, a tool's
-{"tool_call_id", "content"}; a tool's may hold tool_calls of its own. Results are hash-joined to calls by conversation
+{"tool_call_id", "content"}; a tool's may hold tool_calls of its own. A system message may declare the conversation's
+tools: {"tools": [{"name", "parameters"}]}, also with each tool in {"type": "function", "function"}. Results are hash-joined to calls by conversation
 and identifier, ordered after them, arguments are validated against JSON schemas, and every message becomes canonical
 JSON: sorted keys, no spaces, no escapes but those that JSON needs.
 
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from typing import Any
 
 import pyarrow as pa
@@ -74,6 +76,20 @@ def violations(value: Any, schema: dict, where: str = "$") -> list[str]:
     return out
 
 
+@lru_cache(maxsize=256)
+def declared_tools(texts: tuple[str, ...]) -> dict[str, dict]:
+    """The JSON schemas by tool name that system messages declare; the first of a name counts, and a tool without
+    parameters takes any."""
+    out: dict[str, dict] = {}
+    for text in texts:
+        listed = (parse_object(text) or {}).get("tools")
+        for tool in listed if isinstance(listed, list) else []:
+            tool = tool.get("function", tool) if isinstance(tool, dict) else None
+            if isinstance(tool, dict) and isinstance(tool.get("name"), str):
+                out.setdefault(tool["name"], tool.get("parameters") or {})
+    return out
+
+
 def read_calls(body: dict, schemas: dict[str, dict]) -> list[dict]:
     """The message's calls: id, name, arguments (decoded), check. Entries that aren't calls get check `malformed`."""
     out = []
@@ -86,7 +102,10 @@ def read_calls(body: dict, schemas: dict[str, dict]) -> list[dict]:
         if not isinstance(name, str) or not isinstance(call_id, str) or not isinstance(arguments, dict):
             out.append({"id": call_id if isinstance(call_id, str) else None, "name": name if isinstance(name, str) else None, "arguments": call.get("arguments"), "check": "malformed"})
             continue
-        broken = violations(arguments, schemas[name]) if name in schemas else []
+        try:
+            broken = violations(arguments, schemas[name]) if name in schemas else []
+        except (AttributeError, KeyError, TypeError):
+            broken = ["malformed schema"]
         out.append({"id": call_id, "name": name, "arguments": arguments, "check": "unknown tool" if name not in schemas else "; ".join(broken) or "valid"})
     return out
 
@@ -108,9 +127,9 @@ def _tools(batches: Iterable[pa.RecordBatch], schemas: dict[str, dict]) -> Itera
         for low in range(0, whole.num_rows, BATCH_ROWS):
             batch = whole.slice(low, BATCH_ROWS)
             messages, results, calls = [], [], []
-            for role, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for role, text, declared in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
                 body = parse_object(text)
-                listed = read_calls(body, schemas) if body else []
+                listed = read_calls(body, schemas | declared_tools(tuple(declared or ()))) if body else []
                 result = body.get("tool_call_id") if body and role == "tool" else None
                 result = result if isinstance(result, str) else None
                 message: dict[str, Any] = {"role": role, "content": body.get("content") if listed or result is not None else text}
@@ -141,8 +160,12 @@ def _ordered(results: DataFrame) -> DataFrame:
     return state.select("rid", F.when(F.col("up").isNull(), F.col("t")).alias("order_turn"), F.when(F.col("up").isNull(), F.col("d")).otherwise(-1).alias("order_depth"))
 
 
+def _object_of(*roles: str) -> Column:
+    return F.coalesce(F.col("role").isin(*roles) & F.ltrim("text").startswith("{"), F.lit(False))
+
+
 def _looks_like_tools() -> Column:
-    return F.coalesce(F.col("role").isin("assistant", "tool") & F.ltrim("text").startswith("{"), F.lit(False))
+    return _object_of("assistant", "tool")
 
 
 def format_chats(conversations: DataFrame, schemas: dict[str, dict] | None = None) -> DataFrame:
@@ -154,14 +177,18 @@ def format_chats(conversations: DataFrame, schemas: dict[str, dict] | None = Non
 
     The first call of an identifier, by turn, owns its results. A text that isn't a JSON object is plain content, also
     for assistants and tools; a null text is null content. Null conv_ids are one conversation. Repeated rows stay rows.
-    schemas maps tool names to JSON schemas; calls of other tools are checked as `unknown tool`.
+    Calls are checked against the tools that system messages of their conversation declare, before or after them (the
+    first of a name, by turn, counts), then against schemas, which maps tool names to JSON schemas; calls of other tools
+    are checked as `unknown tool`.
     """
     rows = conversations.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), F.col("role").cast("string"), F.col("text").cast("string"))
     nothing = "array<struct<id:string,name:string,check:string,answered:boolean>>"
     plain = rows.where(~_looks_like_tools()).mapInArrow(_plain, "conv_id bigint, turn bigint, role string, message string")
     plain = plain.select("conv_id", "turn", "role", F.col("turn").alias("order_turn"), F.lit(0).alias("order_depth"), F.lit(None).cast("string").alias("link"), F.expr(f"CAST(array() AS {nothing})").alias("calls"), "message")
     known = schemas or {}
-    tools = materialise(rows.where(_looks_like_tools()).mapInArrow(lambda b: _tools(b, known), _TOOL).withColumn("rid", F.monotonically_increasing_id()), "chat-tools")
+    system = rows.where(_object_of("system")).groupBy(F.col("conv_id").alias("c")).agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("system"))
+    called = rows.where(_looks_like_tools()).join(system, F.col("conv_id").eqNullSafe(F.col("c")), "left").select("conv_id", "turn", "role", "text", F.col("system.text").alias("declared"))
+    tools = materialise(called.mapInArrow(lambda b: _tools(b, known), _TOOL).withColumn("rid", F.monotonically_increasing_id()), "chat-tools")
     if tools.isEmpty():
         return plain
     each = tools.select("rid", "conv_id", "turn", F.posexplode("calls").alias("pos", "call"))
@@ -184,6 +211,12 @@ def op8_chat(spark, sf_dir: str) -> DataFrame:
     return format_chats(table(spark, sf_dir, "conversations")).select("conv_id", "turn", "role", "order_turn", "order_depth", "link", F.size("calls").alias("n_calls"), "message")
 
 
+def op8_chat_calls(spark, sf_dir: str) -> DataFrame:
+    """A row per call, as op8_chat tells only how many a message has: conv_id, turn, pos, id, name, check, answered."""
+    calls = format_chats(table(spark, sf_dir, "conversations")).select("conv_id", "turn", "role", F.posexplode("calls").alias("pos", "call"))
+    return calls.select("conv_id", "turn", "role", "pos", "call.id", "call.name", "call.check", "call.answered")
+
+
 #: For tables without tool traffic, which is tested by brute force.
 OP8_SQL = """
 SELECT conv_id, turn, role, turn AS order_turn, 0 AS order_depth, CAST(NULL AS VARCHAR) AS link, 0 AS n_calls,

@@ -13,6 +13,7 @@ QUERIES = {
     "op6_warc": warc.op6_warc,
     "op7_lm_scoring": lm_scoring.op7_lm_scoring,
     "op8_chat": chat.op8_chat,
+    "op8_chat_calls": chat.op8_chat_calls,
     "op9_mixing": mixing.op9_mixing,
     "op10_media": media.op10_media,
 }

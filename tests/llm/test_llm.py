@@ -436,6 +436,24 @@ def test_tool_calls(spark):
     assert chat.format_chats(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).count() == 0
 
 
+def test_registered_chat_queries_with_tool_traffic(spark, tmp_path):
+    adder = {"name": "add", "parameters": {"type": "object", "required": ["x"], "properties": {"x": {"type": "integer"}}}}
+    call = lambda i, name, **a: {"id": i, "name": name, "arguments": a}
+    rows = [
+        (1, 0, "system", json.dumps({"tools": [adder, {"type": "function", "function": {"name": "odd", "parameters": {"type": "nope"}}}, 7]})), (1, 1, "assistant", json.dumps({"tool_calls": [call("a", "add", x=1), call("b", "add", x="1")]})),
+        (1, 2, "tool", json.dumps({"tool_call_id": "a", "content": "2"})), (1, 3, "assistant", json.dumps({"tool_calls": [call("c", "odd"), call("d", "sub")]})), (2, 0, "assistant", json.dumps({"tool_calls": [call("a", "add", x=1)]})),
+        (None, 0, "system", json.dumps({"tools": [{"name": "free"}]})), (None, 1, "assistant", json.dumps({"tool_calls": [call("a", "free", y=0)]})),
+    ]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {(r.conv_id, r.turn, r.pos, r.id, r.name, r.check, r.answered) for r in registry.QUERIES["op8_chat_calls"](spark, str(tmp_path)).collect()}
+    assert got == {
+        (1, 1, 0, "a", "add", "valid", True), (1, 1, 1, "b", "add", "$.x: not of type integer", False), (1, 3, 0, "c", "odd", "malformed schema", False), (1, 3, 1, "d", "sub", "unknown tool", False),
+        (2, 0, 0, "a", "add", "unknown tool", False), (None, 1, 0, "a", "free", "valid", False),
+    }
+    chats = {(r.conv_id, r.turn): (r.link, r.order_turn, r.order_depth, r.n_calls) for r in registry.QUERIES["op8_chat"](spark, str(tmp_path)).collect()}
+    assert len(chats) == len(rows) and chats[1, 2] == ("linked", 2, 1, 0) and chats[1, 1] == (None, 1, 0, 2)
+
+
 # -- mixing ------------------------------------------------------------------------------------------------------------
 
 
