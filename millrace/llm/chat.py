@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from millrace.llm._common import materialise, table
 
 _TYPES = {"string": str, "boolean": bool, "object": dict, "array": list, "null": type(None)}
+#: The white space that JSON allows before an object.
+JSON_SPACE = " \t\n\r"
 #: Messages of a batch that the formatter passes on.
 BATCH_ROWS = 2000
 
@@ -161,7 +163,7 @@ def _ordered(results: DataFrame) -> DataFrame:
 
 
 def _object_of(*roles: str) -> Column:
-    return F.coalesce(F.col("role").isin(*roles) & F.ltrim("text").startswith("{"), F.lit(False))
+    return F.coalesce(F.col("role").isin(*roles) & F.ltrim("text", F.lit(JSON_SPACE)).startswith("{"), F.lit(False))
 
 
 def _looks_like_tools() -> Column:

@@ -436,6 +436,17 @@ def test_tool_calls(spark):
     assert chat.format_chats(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).count() == 0
 
 
+def test_tool_calls_after_white_space(spark):
+    call, result = json.dumps({"tool_calls": [{"id": "a", "name": "f", "arguments": {}}]}), json.dumps({"tool_call_id": "a", "content": "r"})
+    tools = json.dumps({"tools": [{"name": "f"}]})
+    spaces = ["", " ", "\t", "\n", "\r", "\r\n \t"]
+    rows = [(k, turn, role, space + text) for k, space in enumerate(spaces) for turn, (role, text) in enumerate((("system", tools), ("assistant", call), ("tool", result)))]
+    rows += [(99, 0, "assistant", "\x0b" + call), (99, 1, "assistant", "\u00a0" + call)]
+    got = {(r.conv_id, r.turn): (r.link, [(c.check, c.answered) for c in r.calls]) for r in chat.format_chats(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()}
+    assert all(got[k, 1] == (None, [("valid", True)]) and got[k, 2] == ("linked", []) for k in range(len(spaces)))
+    assert got[99, 0] == got[99, 1] == (None, [])
+
+
 def test_registered_chat_queries_with_tool_traffic(spark, tmp_path):
     adder = {"name": "add", "parameters": {"type": "object", "required": ["x"], "properties": {"x": {"type": "integer"}}}}
     call = lambda i, name, **a: {"id": i, "name": name, "arguments": a}
