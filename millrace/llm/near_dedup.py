@@ -11,8 +11,11 @@ sets of the other components, which completes the comparison exactly: pairs with
 
 Before full sets are compared, and before such pairs leave a join, a bitmap per set (4 bits or more per shingle) gives
 an upper bound of the intersection. It never drops a link, and it drops nearly all pairs of a group whose members are
-alike but not similar enough, so their number does not grow with the square of the group. What is left is confirmed on
-full sets.
+alike but not similar enough. A pair leaves the join in the first band that it shares and in no other. What is left is
+confirmed on full sets. Inside the join a bucket still costs its sets outside the largest component times all its sets:
+a group whose members are mostly linked to no hub is compared pair by pair, which exact links need there.
+
+Copies of a set are counted per salt of their doc_ids first, so that no task gets all rows of a set.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ PERMUTATIONS, BAND_ROWS = 100, 5
 #: Sets up to so many are sent to all executors as (number, hash, id) when their texts are fetched, 40 bytes each; of
 #: more, the texts are shuffled.
 BROADCAST_SETS = 500_000
+#: Parts into which the rows of one set are dealt.
+SALTS = 256
 _U = np.uint64
 
 
@@ -130,8 +135,11 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> Da
     """
     signed = materialise(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lambda b: _signed(b, width), _SIGNED), "near-signed")
     known = signed.where("set_hash IS NOT NULL AND doc_id IS NOT NULL")
-    first = known.groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
-    placed = materialise(known.select("doc_id", "set_hash", "n_shingles").join(first, "set_hash"), "near-placed")
+    salted = known.select("doc_id", "set_hash", "n_shingles", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    parts = materialise(salted.groupBy("set_hash", "salt").agg(F.min("doc_id").alias("least")), "near-parts")
+    first = parts.groupBy("set_hash").agg(F.min("least").alias("rep"))
+    reps = parts.select("set_hash", "salt").join(first, "set_hash")
+    placed = materialise(salted.join(reps, ["set_hash", "salt"]).select("doc_id", "set_hash", "n_shingles", "rep"), "near-placed")
     chosen = known.join(placed.where("doc_id = rep").select("doc_id", "set_hash").distinct(), ["doc_id", "set_hash"], "left_semi").dropDuplicates(["doc_id", "set_hash"])
     sets = materialise(chosen.select(F.monotonically_increasing_id().alias("set_no"), "set_hash", F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands", "bits"), "near-sets")
     banded = sets.select(F.explode("bands").alias("band"), "set_no")
@@ -182,11 +190,18 @@ def _open_pairs(members: DataFrame, sets: DataFrame, components: DataFrame, perc
     main = per.groupBy("band").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("m").alias("all"))
     # a bucket of two has had its one comparison
     several = main.where("parts > 1 AND all > 2").select("band", F.col("top.c").alias("top"))
-    left = materialise(placed.join(several, "band").join(known.select("set_no", "n", "bits"), "set_no"), "near-left")
-    x = left.where("c <> top").select("band", *[F.col(k).alias(f"x_{k}") for k in ("set_no", "n", "bits", "c")])
-    y = left.select("band", *[F.col(k).alias(f"y_{k}") for k in ("set_no", "n", "bits", "c")])
-    pairs = x.join(y, "band").where("x_c <> y_c AND " + _may_link("x_bits", "y_bits", "x_n", "y_n", percent))
-    return pairs.select(F.least("x_set_no", "y_set_no").alias("a"), F.greatest("x_set_no", "y_set_no").alias("b")).distinct()
+    left = placed.join(several, "band")
+    # the buckets of a set that are left, in one order for all sets
+    own = left.groupBy("set_no").agg(F.sort_array(F.collect_list("band")).alias("buckets"))
+    left = materialise(left.join(known.select("set_no", "n", "bits").join(own, "set_no"), "set_no"), "near-left")
+    x = left.where("c <> top").select("band", *[F.col(k).alias(f"x_{k}") for k in ("set_no", "n", "bits", "c", "buckets")])
+    y = left.select("band", F.col("top").alias("y_top"), *[F.col(k).alias(f"y_{k}") for k in ("set_no", "n", "bits", "c", "buckets")])
+    # both ways round if both are outside the largest component; once is enough
+    once = "(y_c = y_top OR x_set_no < y_set_no)"
+    first = "array_min(array_intersect(x_buckets, y_buckets)) = band"
+    near = f"least(x_n, y_n) * 100 >= greatest(x_n, y_n) * {percent}"
+    pairs = x.join(y, "band").where(f"x_c <> y_c AND {once} AND {near} AND {first} AND {_may_link('x_bits', 'y_bits', 'x_n', 'y_n', percent)}")
+    return pairs.select(F.least("x_set_no", "y_set_no").alias("a"), F.greatest("x_set_no", "y_set_no").alias("b"))
 
 
 def op5_near_dedup(spark, sf_dir: str) -> DataFrame:
