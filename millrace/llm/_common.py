@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,10 +55,22 @@ def drop_scratch(spark: SparkSession, where: str) -> None:
     fs.delete(path, True)
 
 
-def collect_garbage(spark: SparkSession) -> None:
-    """Lets Spark's cleaner see that finished stages are no longer referenced, so that their shuffle files go."""
+def release_memory(spark: SparkSession) -> None:
+    """Lets Spark's cleaner see that finished stages are no longer referenced, so that their shuffle files go, and has
+    the driver's JVM give back what it has freed outside its heap, of which a long chain of jobs leaves much. The
+    command for that is one of the JVM's management interface; a JVM without it keeps the memory."""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    jvm = spark.sparkContext._jvm
+    jvm.System.gc()
+    server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+    # the server's class isn't public, so its method is looked up by the interface
+    invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+    given = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 4)
+    given[0], given[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    try:
+        invoke.invoke(server, given)
+    except Py4JJavaError:
+        return
 
 
 def materialise(df: DataFrame, label: str, *, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -67,5 +80,5 @@ def materialise(df: DataFrame, label: str, *, partition_by: tuple[str, ...] = ()
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(where)
     back = spark.read.schema(df.schema).parquet(where)
-    collect_garbage(spark)
+    release_memory(spark)
     return back
