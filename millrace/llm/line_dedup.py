@@ -36,6 +36,10 @@ def _h1(key: Column) -> Column:
     return F.xxhash64(key)
 
 
+def _h2(key: Column) -> Column:
+    return F.xxhash64(F.lit("second"), key)
+
+
 class LineRuns:
     """The levelled store. Batches must be added in descending order of their doc_ids."""
 
@@ -80,29 +84,29 @@ def dedup_lines(docs: DataFrame, *, min_docs: int = 5, min_chars: int = 40, batc
     stays in the document of the largest doc_id only, as often as it stands there. A null or empty text is one empty
     line. A null doc_id counts as one document below all others. Repeated rows of a doc_id are one document when
     counting and keep their rows. Other columns pass through; columns named n_lines or n_dropped are replaced. An empty
-    table stays empty.
+    table stays empty. Batches are cut at approximate quantiles of the doc_ids, so any 64-bit ids will do.
     """
     spark, columns = docs.sparkSession, [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     ident = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LEAST))
-    least, most = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    width = max(1.0, ((most or 0) - (least or 0) + 1) / batches)
-    batch = F.least(F.lit(batches - 1), F.coalesce(F.floor((F.lit(most or 0) - F.col("doc_id")) / F.lit(width)), F.lit(batches - 1))).cast("int")
+    cuts = docs.agg(F.percentile_approx(ident, [k / batches for k in range(1, batches)], 1000)).first()[0] if batches > 1 else None
+    # how many cuts lie above: batch 0 has the largest ids
+    batch = reduce(Column.__add__, [(ident <= F.lit(cut)).cast("int") for cut in cuts or ()], F.lit(0))
     keys = F.array_distinct(F.filter(F.transform(_lines(F.col("text")), line_key), lambda k: F.length(k) >= min_chars))
     postings = materialise(
-        docs.select(ident.alias("id"), batch.alias("batch"), F.explode(keys).alias("key")).select(_h1(F.col("key")).alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"), "id", "batch"),
+        docs.select(ident.alias("id"), batch.alias("batch"), F.explode(keys).alias("key")).select(_h1(F.col("key")).alias("h1"), _h2(F.col("key")).alias("h2"), "id", "batch"),
         "lines-postings",
         partition_by=("batch",),
     )
     store = LineRuns(spark, min_docs=min_docs, fan_out=fan_out)
     for k in range(batches):
         store.add(postings.where(F.col("batch") == k).drop("batch"))
-    drops = postings.join(store.frequent(), ["h1", "h2"]).where("id <> keeper").groupBy("id").agg(F.collect_set("h1").alias("drops"))
+    drops = postings.join(store.frequent(), ["h1", "h2"]).where("id <> keeper").groupBy("id").agg(F.collect_set(F.struct("h1", "h2")).alias("drops"))
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), ident.alias("id"))
     lines = _lines(F.col("row.text"))
 
     def stays(line: Column) -> Column:
         key = line_key(line)
-        return ~((F.length(key) >= min_chars) & F.array_contains(F.col("drops"), _h1(key)))
+        return ~((F.length(key) >= min_chars) & F.array_contains(F.col("drops"), F.struct(_h1(key).alias("h1"), _h2(key).alias("h2"))))
 
     cut = (
         inner.join(drops, "id", "left")
