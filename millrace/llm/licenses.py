@@ -126,9 +126,9 @@ _HIT = "struct<first:int,far:int,priority:int,rule:int,label:string,confidence:d
 def _rule_groups(rules: tuple[Rule, ...]) -> Column:
     groups: dict[str, list[Column]] = {}
     for k, r in enumerate(rules):
-        one = F.struct(F.lit(k).alias("rule"), F.lit(f" (?:{r.expression})(?= |$)").alias("expression"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(float(r.confidence)).alias("confidence"), F.lit(r.base).alias("base"))
+        one = F.struct(F.lit(k).alias("rule"), F.lit(f" (?:{r.expression})(?= |\\z)").alias("expression"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(float(r.confidence)).alias("confidence"), F.lit(r.base).alias("base"))
         groups.setdefault(r.keyword, []).append(one)
-    return F.array(*[F.struct(F.lit(keyword).alias("keyword"), F.array(*members).alias("rules")) for keyword, members in groups.items()])
+    return F.array(*[F.struct(F.lit(f" {keyword} ").alias("keyword"), F.array(*members).alias("rules")) for keyword, members in groups.items()])
 
 
 def _spaces(x: str) -> str:
@@ -146,7 +146,7 @@ transform(array(named_struct('p', split(_norm, r.expression, -1), 'm', regexp_ex
 
 # Hits sorted by first word, then longest; `far` is minus the word after the last. ends[p]: how far priority p reached.
 _KEPT = f"""
-aggregate(_hits, named_struct('ends', array(-1, -1, -1, -1), 'out', CAST(array() AS array<{_HIT}>)), (a, h) -> named_struct(
+aggregate(_hits, named_struct('ends', array_repeat(-1, {{worst}} + 1), 'out', CAST(array() AS array<{_HIT}>)), (a, h) -> named_struct(
   'ends', transform(a.ends, (e, p) -> IF(p = h.priority, greatest(e, -h.far), e)),
   'out', IF(NOT h.base AND array_max(slice(a.ends, 1, h.priority + 1)) >= -h.far, a.out, concat(a.out, array(h)))), a -> a.out)"""
 
@@ -163,10 +163,10 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] | None = None) -> DataFrame:
     norm = F.trim(F.regexp_replace(ascii_lower(F.coalesce("text", F.lit(""))), NO_WORD, " "))
     rows = docs.select("doc_id", F.when(norm == "", "").otherwise(F.concat(F.lit(" "), norm)).alias("_norm"))
     rows = rows.withColumn("n_words", (F.length("_norm") - F.length(F.replace("_norm", F.lit(" ")))).cast("bigint"))
-    groups = F.filter(_rule_groups(rules), lambda g: F.contains(F.col("_norm"), g["keyword"]))
+    groups = F.filter(_rule_groups(rules), lambda g: F.contains(F.concat("_norm", F.lit(" ")), g["keyword"]))
     rows = rows.withColumn("_rules", F.flatten(F.transform(groups, lambda g: g["rules"])))
     rows = rows.withColumn("_hits", F.sort_array(F.flatten(F.expr(f"transform(_rules, r -> {_MATCHES})"))))
-    kept = F.when(F.size("_hits") > 0, F.expr(_KEPT)).otherwise(F.expr(f"CAST(array() AS array<{_HIT}>)"))
+    kept = F.when(F.size("_hits") > 0, F.expr(_KEPT.format(worst=max((r.priority for r in rules), default=0)))).otherwise(F.expr(f"CAST(array() AS array<{_HIT}>)"))
     shown = lambda h: F.struct(h["first"].alias("first"), (-h["far"] - 1).alias("last"), h["label"].alias("label"), h["rule"].alias("rule"), h["priority"].alias("priority"), h["confidence"].alias("confidence"), h["base"].alias("base"))
     return rows.select("doc_id", "n_words", F.transform(kept, shown).alias("detections"))
 
