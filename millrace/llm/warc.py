@@ -161,51 +161,92 @@ def parse_record(data: bytes, at: int) -> tuple[int, dict[str, str], bytes]:
     return end + 4, headers, block
 
 
-def _unpack(data: bytes, at: int) -> tuple[int, bytes]:
-    """The gzip member at this byte: where it ends and what it holds. Raises Damage."""
+def _unpack(data: bytes, at: int) -> tuple[int | None, bytes, str]:
+    """The gzip member at this byte: where it ends (None: it can't be read to its end), what could be inflated of it,
+    and why no more."""
     reader, out = zlib.decompressobj(31), []
     end = at
     while not reader.eof:
         if end >= len(data):
-            raise Damage("cut member")
+            return None, b"".join(out), "cut member"
         piece = data[end : end + (1 << 16)]
         try:
             out.append(reader.decompress(piece))
         except zlib.error:
-            raise Damage("member") from None
+            # the piece once more, byte by byte: what comes before the bad one counts
+            again, whole = zlib.decompressobj(31), data[at:end]
+            out = [again.decompress(whole)]
+            for k in range(len(piece)):
+                try:
+                    out.append(again.decompress(piece[k : k + 1]))
+                except zlib.error:
+                    break
+            return None, b"".join(out), "member"
         end += len(piece)
-    return end - len(reader.unused_data), b"".join(out)
+    return end - len(reader.unused_data), b"".join(out), ""
 
 
-def salvage(data: bytes) -> Iterator[Item]:
-    """Records and gaps of an archive, in order; together they cover every byte but empty members and line ends."""
-    at, gap, reason = 0, None, ""
-    while at < len(data):
-        found: list[Item] = []
+def _plain_items(data: bytes, start: int, stop: int) -> Iterator[tuple[int, int, str | None, dict[str, str], bytes]]:
+    """(from, to, reason, fields, block) of plain records and gaps between two bytes."""
+    at, gap, reason = start, None, ""
+    while at < stop:
         try:
-            if data.startswith(b"\x1f\x8b\x08", at):
-                end, raw = _unpack(data, at)
-                inner = 0
-                while inner < len(raw):
-                    stop, headers, block = parse_record(raw, inner)
-                    found.append(Item(at, end - at, None, headers, block))
-                    inner = stop
-            elif data.startswith(b"WARC/1.", at):
-                end, headers, block = parse_record(data, at)
-                found.append(Item(at, end - at, None, headers, block))
-            else:
-                raise Damage("no record")
+            end, headers, block = parse_record(data, at)
         except Damage as why:
             if gap is None:
                 gap, reason = at, str(why)
-            nxt = _CANDIDATE.search(data, at + 1)
-            at = nxt.start() if nxt else len(data)
+            found = data.find(VERSION[:7], at + 1, stop)
+            at = stop if found < 0 else found
             continue
         if gap is not None:
+            yield gap, at, reason, {}, b""
+            gap = None
+        yield at, end, None, headers, block
+        at = end
+    if gap is not None:
+        yield gap, stop, reason, {}, b""
+
+
+def salvage(data: bytes) -> Iterator[Item]:
+    """Records and gaps of an archive, in order; together they cover every byte but empty members and line ends.
+
+    Records of a member have the member's place. A gap inside a member has the member's place too, and its reason tells
+    the inflated bytes; a member that can't be inflated to its end gives the records before the damage, and then a gap
+    of the member's place up to the next record or member that can be read.
+    """
+    at, gap, reason = 0, None, ""
+    while at < len(data):
+        found: list[Item] = []
+        end: int | None = None
+        if data.startswith(b"\x1f\x8b\x08", at):
+            end, raw, why = _unpack(data, at)
+            parts = list(_plain_items(raw, 0, len(raw)))
+            if end is not None:
+                found = [Item(at, end - at, r and f"{r}: bytes {a} to {b} of the member", h, block) for a, b, r, h, block in parts]
+                if parts and all(r for _, _, r, _, _ in parts):
+                    found, end, why = [], None, parts[0][2]
+            elif any(r is None for _, _, r, _, _ in parts):
+                # a true member: what it gave counts, and its rest is a gap
+                found = [Item(at, 0, None, h, block) for _, _, r, h, block in parts if r is None]
+        elif data.startswith(b"WARC/1.", at):
+            try:
+                end, headers, block = parse_record(data, at)
+                found = [Item(at, end - at, None, headers, block)]
+            except Damage as damage:
+                why = str(damage)
+        else:
+            why = "no record"
+        if gap is not None and (found or end is not None):
             yield Item(gap, at - gap, reason, {}, b"")
             gap = None
         yield from found
-        at = end
+        if end is not None:
+            at = end
+            continue
+        if gap is None:
+            gap, reason = at, why
+        nxt = _CANDIDATE.search(data, at + 1)
+        at = nxt.start() if nxt else len(data)
     if gap is not None:
         yield Item(gap, len(data) - gap, reason, {}, b"")
 
@@ -257,8 +298,9 @@ def op6_warc(spark, sf_dir: str) -> DataFrame:
     write_warc(table(spark, sf_dir, "pages"), path)
     page = lambda c: F.regexp_extract(c, "^<urn:page:(-?\\d+)>$", 1)
     number = lambda c: F.when(page(c) != "", page(c)).cast("bigint")
-    records = read_warc(spark, path).where("gap_reason IS NULL")
-    return records.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), number("refers_to").alias("refers_to"))
+    # a gap, which archives just written should not have, is a row without a page
+    kind = F.when(F.col("gap_reason").isNotNull(), F.concat(F.lit("gap: "), "gap_reason")).otherwise(F.col("warc_type"))
+    return read_warc(spark, path).select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", kind.alias("record_type"), number("refers_to").alias("refers_to"))
 
 
 OP6_SQL = f"""
