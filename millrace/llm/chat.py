@@ -24,7 +24,10 @@ from pyspark.sql import functions as F
 
 from millrace.llm._common import materialise, table
 
+#: Numbers beyond this are no JSON values here, as they have no canonical form.
+LARGEST = 1.7976931348623157e308
 _TYPES = {"string": str, "boolean": bool, "object": dict, "array": list, "null": type(None)}
+_KINDS = {*_TYPES, "integer", "number"}
 #: The white space that JSON allows before an object.
 JSON_SPACE = " \t\n\r"
 #: Messages of a batch that the formatter passes on.
@@ -39,10 +42,19 @@ def _refuse(constant: str) -> None:
     raise ValueError(constant)
 
 
+def _number(digits: str) -> float:
+    value = float(digits)
+    if abs(value) > LARGEST:
+        _refuse(digits)
+    return value
+
+
 def parse_object(text: str | None) -> dict | None:
-    """The JSON object that a text is, or None. NaN and infinities are not JSON."""
+    """The JSON object that a text is, or None. What has no canonical form isn't taken as JSON: NaN, infinities,
+    numbers beyond a double, half of a surrogate pair, nesting beyond Python's limit."""
     try:
-        value = json.loads(text or "", parse_constant=_refuse)
+        value = json.loads(text or "", parse_constant=_refuse, parse_float=_number)
+        canonical(value).encode()
     except (ValueError, RecursionError):
         return None
     return value if isinstance(value, dict) else None
@@ -53,12 +65,14 @@ def _is(value: Any, kind: str) -> bool:
         return (isinstance(value, int) and not isinstance(value, bool)) or (isinstance(value, float) and value.is_integer())
     if kind == "number":
         return isinstance(value, (int, float)) and not isinstance(value, bool)
-    return isinstance(value, _TYPES[kind])
+    return kind in _TYPES and isinstance(value, _TYPES[kind])
 
 
 def violations(value: Any, schema: dict, where: str = "$") -> list[str]:
     """What value breaks of a JSON schema's type, enum, required, properties, additionalProperties and items."""
     kinds = schema.get("type")
+    if unknown := {kinds} - _KINDS if isinstance(kinds, str) else set(kinds or ()) - _KINDS:
+        raise TypeError(f"unknown types: {sorted(unknown)}")
     if kinds and not any(_is(value, k) for k in ([kinds] if isinstance(kinds, str) else kinds)):
         return [f"{where}: not of type {kinds if isinstance(kinds, str) else '/'.join(kinds)}"]
     out = []
