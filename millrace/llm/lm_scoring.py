@@ -1,34 +1,36 @@
-"""Stupid-backoff scores of documents under the n-gram counts of the whole corpus.
+"""Stupid-backoff scores of documents under the n-gram counts of the whole corpus, as joins.
 
 N-grams are 64-bit hashes. Documents are taken in blocks of up to BLOCK_TOKENS words; a block is a row that holds its
-documents' words packed. Each block sends its distinct n-grams with their counts to the hash partition that owns them,
-a row per (block, partition), packed. A partition adds the counts up to its part of the count table, drops n-grams
-below `min_count` and answers every block with counts, in the order of the n-grams that the block sent. Joined with
-these, a block scores its n-grams and sums per document.
-
-So an n-gram crosses the network once per block that holds it, in about 6 bytes, and its count in less than one, instead
-of once per occurrence as a row. A frequent n-gram is one entry per block; the number of partitions grows with the corpus, and what a task holds is
-one block or one partition.
+documents' words packed. Order by order, blocks are exploded into rows (hash, ref, times): each distinct n-gram of the
+block, its place in the block and how often it stands there. Rows are partitioned by hash once: a window over the hash is
+the count table and its join to the exploded n-grams. What comes out goes back to the blocks, a packed row per task and
+block, and a block scores its n-grams and sums per document.
+
+An n-gram that `min_count` keeps has a prefix and a suffix that are kept too, so the longer n-grams of a block without
+these need no row: their count can't be in the table. A frequent n-gram is one row per block, so no key is hot; the rows
+grow with the corpus, and what a task holds is a block or a sorted run.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm._common import materialise, table
 from millrace.llm.shingles import mix, text_chunks, word_hashes
 
-ORDER, MIN_COUNT, BACKOFF = 2, 2, 0.4
-BLOCK_TOKENS = 3_000_000
-#: Distinct n-grams that a hash partition should own.
-PARTITION_KEYS = 1_500_000
+#: An n-gram that the corpus has once, in the document that is scored, is no evidence: two and more count.
+ORDER, MIN_COUNT, BACKOFF = 3, 2, 0.4
+BLOCK_TOKENS = 1_000_000
+#: Rows of exploded n-grams in a batch.
+BATCH_ROWS = 1 << 18
 _U = np.uint64
 _STEP = _U(0xD6E8FEB86659FD93)
 
@@ -45,14 +47,6 @@ def _unpack(packed: bytes, dtype: type) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(width, -1).T).reshape(-1).view(dtype)
 
 
-def _pack_sorted(keys: np.ndarray) -> bytes:
-    return _pack(np.diff(keys, prepend=_U(0)))
-
-
-def _unpack_sorted(packed: bytes) -> np.ndarray:
-    return np.cumsum(_unpack(packed, np.uint64), dtype=_U)
-
-
 def ngrams(words: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
     """For each word the hash of the n-gram that ends there, 0 where the document begins later; first as in
     word_hashes. Hashes of different n differ."""
@@ -105,69 +99,111 @@ def _words_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return words, np.concatenate(([0], np.cumsum(np.array(row["sizes"], np.int64))))
 
 
-_SENT = "partition bigint, block bigint, n int, keys binary, counts binary"
+def _kinds(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The block's distinct n-grams, sorted; which words end one; and for these words its place among the distinct."""
+    possible = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first)) >= n - 1
+    keys, inverse = np.unique(ngrams(words, first, n)[possible], return_inverse=True)
+    return keys, possible, inverse
+
+
+def _placed(answers: list[dict], n: int, size: int) -> np.ndarray:
+    """Counts of the block's distinct n-grams; 0 for what the table does not keep."""
+    out = np.zeros(size, np.int64)
+    for row in answers:
+        if row["n"] == n:
+            out[np.cumsum(_unpack(row["places"], np.uint32), dtype=np.uint32)] = _unpack(row["counts"], np.int64)
+    return out
+
+
+_ROWS = "hash bigint, block bigint, place int, times bigint"
+
+
+_SCHEMA = pa.schema([("hash", pa.int64()), ("block", pa.int64()), ("place", pa.int32()), ("times", pa.int64())])
+
+
+def _exploded(row: dict, n: int, shorter: list[dict] | None) -> Iterator[pa.RecordBatch]:
+    """The rows of a block; with the answers for n - 1 only those whose prefix and suffix are kept."""
+    words, first = _words_of(row)
+    keys, possible, inverse = _kinds(words, first, n)
+    times = np.bincount(inverse, minlength=len(keys))
+    some = np.arange(len(keys))
+    if shorter is not None:
+        less, ends, place = _kinds(words, first, n - 1)
+        kept = np.zeros(len(words) + 1, bool)
+        kept[:-1][ends] = _placed(shorter, n - 1, len(less))[place] > 0
+        both = np.zeros(len(keys), bool)
+        at = np.flatnonzero(possible)
+        both[inverse] = kept[at] & kept[at - 1]
+        some = np.flatnonzero(both)
+    for low in range(0, len(some), BATCH_ROWS):
+        part = some[low : low + BATCH_ROWS]
+        yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), pa.array(np.full(len(part), row["block"])), pa.array(part.astype(np.int32)), pa.array(times[part].astype(np.int64))], schema=_SCHEMA)
+
 
+def _rows(blocks: DataFrame, n: int, shorter: DataFrame | None) -> DataFrame:
+    if shorter is None:
+        return blocks.mapInArrow(lambda batches: (out for batch in batches for row in batch.to_pylist() for out in _exploded(row, n, None)), _ROWS)
 
-def _sent(batches: Iterable[pa.RecordBatch], order: int, partitions: int) -> Iterator[pa.RecordBatch]:
-    edges = np.array([(k << 64) // partitions for k in range(1, partitions)], _U)
+    def run(mine: pa.Table, answers: pa.Table) -> pa.Table:
+        held = answers.to_pylist()
+        parts = [out for row in mine.to_pylist() for out in _exploded(row, n, held)]
+        return pa.Table.from_batches(parts, _SCHEMA)
+
+    return blocks.groupBy("block").cogroup(shorter.groupBy("block")).applyInArrow(run, _ROWS)
+
+
+_ANSWERS = "block bigint, n int, places binary, counts binary"
+
+
+def _packed(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """A row per block of what has gathered: its places in order and their counts."""
+
+    def flush(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        block, place, count = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in (0, 1, 2))
+        order = np.lexsort((place, block))
+        block, place, count = block[order], place[order], count[order]
+        begins = np.flatnonzero(np.diff(block, prepend=block[0] - 1))
+        ends = np.append(begins[1:], len(block))
+        places = [_pack(np.diff(place[a:b].astype(np.uint32), prepend=np.uint32(0))) for a, b in zip(begins, ends)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(block[begins]), pa.array([n] * len(begins), pa.int32()), pa.array(places, pa.binary()), pa.array([_pack(count[a:b]) for a, b in zip(begins, ends)], pa.binary())],
+            names=[x.split()[0] for x in _ANSWERS.split(", ")],
+        )
+
+    held: list[pa.RecordBatch] = []
+    rows = 0
     for batch in batches:
-        for row in batch.to_pylist():
-            words, first = _words_of(row)
-            place = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first))
-            for n in range(1, order + 1):
-                hashes = ngrams(words, first, n)
-                keys, counts = np.unique(hashes[place >= n - 1], return_counts=True)
-                cut = np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
-                some = np.flatnonzero(np.diff(cut))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int64()), pa.array([row["block"]] * len(some), pa.int64()), pa.array([n] * len(some), pa.int32()), pa.array([_pack_sorted(keys[cut[k] : cut[k + 1]]) for k in some], pa.binary()), pa.array([_pack(counts[cut[k] : cut[k + 1]].astype(np.uint32)) for k in some], pa.binary())],
-                    names=[x.split()[0] for x in _SENT.split(", ")],
-                )
-
-
-_ANSWERS = "block bigint, n int, partition bigint, counts binary"
-
-
-def _answers(rows: pa.Table, min_count: int) -> pa.Table:
-    """The counts of a hash partition, for each block in the order of the n-grams that it sent; 0 for what the table
-    does not keep."""
-    out: list[tuple] = []
-    sent = rows.to_pylist()
-    for n in sorted({r["n"] for r in sent}):
-        mine = [(r["block"], _unpack_sorted(r["keys"]), _unpack(r["counts"], np.uint32)) for r in sent if r["n"] == n]
-        keys, inverse = np.unique(np.concatenate([k for _, k, _ in mine]), return_inverse=True)
-        total = np.bincount(inverse, np.concatenate([c for _, _, c in mine]).astype(np.float64), len(keys)).astype(np.int64)
-        at = 0
-        for block, own, _ in mine:
-            counts = total[inverse[at : at + len(own)]]
-            at += len(own)
-            out.append((block, n, sent[0]["partition"], _pack(np.where(counts >= (min_count if n > 1 else 1), counts, 0))))
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
-    return pa.table([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=[x.split()[0] for x in _ANSWERS.split(", ")])
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= 8 * BATCH_ROWS:
+            yield flush(held)
+            held, rows = [], 0
+    if rows:
+        yield flush(held)
+
+
+def _answers(rows: DataFrame, n: int, min_count: int) -> DataFrame:
+    """The exploded n-grams with their counts in the corpus, where these are kept. Count table and join are one window
+    over the hash: an aggregate beside it would explode and shuffle the same rows once more."""
+    counted = rows.withColumn("count", F.sum("times").over(Window.partitionBy("hash"))).where(F.col("count") >= (min_count if n > 1 else 1))
+    return counted.select("block", "place", "count").mapInArrow(lambda b: _packed(b, n), _ANSWERS)
 
 
 _SCORES = "doc_id bigint, n_words bigint, log_prob double"
 
 
 def _scores(blocks: pa.Table, answers: pa.Table, order: int, backoff: float, total: int) -> pa.Table:
-    counts: dict[int, np.ndarray] = {}
-    parts = sorted(answers.to_pylist(), key=lambda r: r["partition"])
-    for n in range(1, order + 1):
-        counts[n] = np.concatenate([np.zeros(0, np.int64), *[_unpack(r["counts"], np.int64) for r in parts if r["n"] == n]])
-
     ids, sizes, sums = [], [], []
+    held = answers.to_pylist()
     for row in blocks.to_pylist():
         words, first = _words_of(row)
         context, score = np.full(len(words), total, np.float64), np.zeros(len(words))
-        place = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first))
         for n in range(1, order + 1):
-            possible = place >= n - 1
+            keys, possible, inverse = _kinds(words, first, n)
             found = np.zeros(len(words), np.int64)
-            # the block's own n-grams in order, as it sent them
-            found[possible] = counts[n][np.unique(ngrams(words, first, n)[possible], return_inverse=True)[1]]
-            seen = found > 0
+            found[possible] = _placed(held, n, len(keys))[inverse]
             better = np.log(np.maximum(found, 1)) - np.log(np.maximum(context, 1))
-            score = np.where(seen, better, score + np.where(possible & (n > 1), np.log(backoff), 0.0))
+            score = np.where(found > 0, better, score + np.where(possible & (n > 1), np.log(backoff), 0.0))
             # the count of the context of the next order's n-grams: this order's n-gram one word before
             context = np.concatenate(([0.0], found[:-1].astype(np.float64))) if len(found) else context
         ids += row["doc_ids"]
@@ -187,10 +223,12 @@ def score_documents(docs: DataFrame, *, order: int = ORDER, min_count: int = MIN
     """
     blocks = materialise(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lambda b: _blocks(b, block_tokens), _BLOCKS), "lm-blocks")
     total = blocks.agg(F.sum("n_tokens")).first()[0] or 0
-    partitions = max(1, -(-total * order // PARTITION_KEYS))
-    sent = blocks.mapInArrow(lambda b: _sent(b, order, partitions), _SENT)
-    answers = materialise(sent.groupBy("partition").applyInArrow(lambda t: _answers(t, min_count), _ANSWERS), "lm-answers")
-    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda b, a: _scores(b, a, order, backoff, total), _SCORES)
+    answers: list[DataFrame] = []
+    for n in range(1, order + 1):
+        shorter = answers[-1] if n > 2 and min_count > 1 else None
+        answers.append(materialise(_answers(_rows(blocks, n, shorter), n, min_count), f"lm-answers{n}"))
+    every = reduce(DataFrame.unionAll, answers)
+    scored = blocks.groupBy("block").cogroup(every.groupBy("block")).applyInArrow(lambda b, a: _scores(b, a, order, backoff, total), _SCORES)
     return scored.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))
 
 
