@@ -81,6 +81,14 @@ def test_line_dedup_odd(spark):
     assert line_dedup.dedup_lines(odd_documents(spark).limit(0)).count() == 0
 
 
+def test_line_dedup_of_wide_ids(spark):
+    wide = 2**63 - 1
+    rows = [(i, f"{LINE}\nown {i}") for i in (-wide, -wide + 1, -5, 0, 3, wide - 1, wide)] + [(k, f"a line of forty characters and more {k % 2}") for k in range(10, 30)]
+    for batches in (1, 4):
+        got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), batches=batches)
+        assert norm((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in got.collect()) == norm(drop_lines(rows))
+
+
 # -- licences ----------------------------------------------------------------------------------------------------------
 
 
@@ -89,7 +97,7 @@ def scan(text):
     base = [(i, label) for phrase, label in licenses.BASE for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
     flat, hits = "".join(" " + w for w in words), []
     for k, rule in enumerate(licenses.default_rules()):
-        for m in re.finditer(f" (?:{rule.expression})(?= |$)", flat):
+        for m in re.finditer(f" (?:{rule.expression})(?= |\\Z)", flat):
             first = flat[: m.start()].count(" ")
             hits.append((first, first + m[0].count(" "), rule.priority, k, rule))
     kept = [h for h in hits if h[4].base or not any(g is not h and g[0] <= h[0] and g[1] >= h[1] and g[2] <= h[2] and (g[:3] != h[:3] or g[3] < h[3]) for g in hits)]
@@ -98,7 +106,7 @@ def scan(text):
 
 def test_licenses(spark):
     assert len(licenses.default_rules()) > 200
-    texts = ["Licensed under the MIT License.", "under the mit license under the mit license", "Apache License, Version 2.0; see the Apache License version 2.0 for details", "CC-BY-NC 4.0 and cc by nc", "SPDX-License-Identifier: GPL-3.0-or-later", "Released under the terms of the Mozilla Public License 2.0. All rights reserved.", "mitt license", "", "no", "ÉMIT license"] * 2
+    texts = ["Licensed under the MIT License.", "under the mit license under the mit license", "Apache License, Version 2.0; see the Apache License version 2.0 for details", "CC-BY-NC 4.0 and cc by nc", "SPDX-License-Identifier: GPL-3.0-or-later", "Released under the terms of the Mozilla Public License 2.0. All rights reserved.", "mitt license", "", "no", "ÉMIT license", "under the mit license\u0085", "under the mit license\u2028", "under the mit license\u2029 x", "apache license version 2\n", "submit permit limit license", "miscellaneous license"] * 2
     rows = [(k, t) for k, t in enumerate(texts)] + [tuple(r) for r in documents(spark).select("doc_id", "text").collect()]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("_norm", F.lit(1))
     got = {}
@@ -139,10 +147,19 @@ def wordings(expression):
 
 
 def test_keywords_are_in_all_that_rules_match():
-    missing = {(r.keyword, r.expression) for r in licenses.default_rules() if not all(re.fullmatch(r.expression, x) and r.keyword in x for x in wordings(r.expression))}
+    missing = {(r.keyword, r.expression) for r in licenses.default_rules() if not all(re.fullmatch(r.expression, x) and f" {r.keyword} " in f" {x} " for x in wordings(r.expression))}
     assert missing == set()
 
 
+def test_base_phrases_end_with_their_words(spark):
+    texts = ["under the mit license" + c for c in ("\u0085", "\u2028", "\u2029", "\n", "\r\n", ".", "")]
+    got = {r.doc_id: sum(d.base for d in r.detections) for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 1, 4: 1, 5: 1, 6: 1}
+    rules = tuple(licenses.Rule(w, w, w, k, 0.5) for k, w in enumerate("abcdef"))
+    found = licenses.scan(spark.createDataFrame([(1, "f e d c b a")], "doc_id bigint, text string"), rules).first()
+    assert [d.priority for d in found.detections] == [5, 4, 3, 2, 1, 0]
+
+
 def test_license_tags_alone(spark):
     texts = [(k, f"SPDX-License-Identifier: {wordings(spdx)[0]}", label) for k, (label, _, _, spdx) in enumerate(licenses.NAMES)]
     got = {r.doc_id: {d.label for d in r.detections} for r in licenses.scan(spark.createDataFrame(texts, "doc_id bigint, text string, label string")).collect()}
@@ -222,6 +239,35 @@ def test_near_copies(spark, width):
     assert got == {k: {v} for k, v in groups(rows, width).items()}
 
 
+@pytest.mark.parametrize("width", [2, 5])
+def test_near_copies_of_the_table_against_all_pairs(spark, width):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    sets = {}
+    for i, t in rows:
+        w = [x for x in re.split("[ \t\n\x0b\f\r]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) if x]
+        sets[i] = {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
+    number = {s: k for k, s in enumerate({s for held in sets.values() for s in held})}
+    ids = sorted(sets)
+    bits = {i: sum(1 << number[s] for s in sets[i]) for i in ids}
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            small, large = sorted((len(sets[a]), len(sets[b])))
+            if small and small * 100 >= large * 80 and find(a) != find(b):
+                both = (bits[a] & bits[b]).bit_count()
+                if both * 100 >= (small + large - both) * 80:
+                    parent[max(find(a), find(b))] = min(find(a), find(b))
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, width=width).collect()}
+    assert got == {i: find(i) for i in ids}
+
+
 def test_near_copies_odd(spark):
     got = near_dedup.near_duplicates(odd_documents(spark)).collect()
     assert len(got) == 9 and all(r.component_id == r.doc_id and r.kept for r in got)
@@ -385,10 +431,34 @@ def test_salvage(packed):
     assert list(warc.salvage(b"")) == [] and [i.reason for i in warc.salvage(b"junk")] == ["no record"]
 
 
+def test_salvage_inside_members(spark, tmp_path):
+    records = [warc.record_bytes(k, "http://x/", random.Random(k).randbytes(500), None, revisit=False) for k in range(30)]
+    names = lambda items: [i.headers["warc-record-id"] for i in items if i.reason is None]
+    page = lambda *ks: [f"<urn:page:{k}>" for k in ks]
+    whole = bytearray(b"".join(records))
+    at = len(b"".join(records[:7])) + 20
+    whole[at : at + 6] = b"\xff" * 6
+    for data in (bytes(whole), warc.member(bytes(whole))):
+        items = list(warc.salvage(data))
+        assert names(items) == page(*(k for k in range(30) if k != 7)) and sum(i.reason is not None for i in items) == 1
+    good, last = warc.member(b"".join(records)), warc.member(records[3])
+    broken = bytearray(good)
+    broken[len(good) * 3 // 4] ^= 0x55
+    for data in (bytes(broken) + last, good[: len(good) * 3 // 4] + last):
+        items = list(warc.salvage(data))
+        found = names(items)
+        assert found[-1:] == page(3) and len(found) > 20 and found[:-1] == [x for x in page(*range(30)) if x in found[:-1]]
+        assert sum(i.reason is not None for i in items) == 1
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.warc.gz").write_bytes(bytes(broken) + last)
+    rows = warc.read_warc(spark, str(tmp_path / "w")).collect()
+    assert sum(r.gap_reason is not None for r in rows) == 1 and len(rows) > 21
+
+
 # -- language model ----------------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize(("order", "block"), [(1, 10**6), (2, 300), (3, 10**6)])
+@pytest.mark.parametrize(("order", "block"), [(1, 10**6), (2, 300), (3, 10**6), (3, 300)])
 def test_lm_scores(spark, order, block):
     rows = [tuple(r) for r in documents(spark).select("doc_id", "text").limit(60).collect()] + [(900, ""), (901, None), (None, "the the the"), (902, "the")]
     words = [re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) for _, t in rows]
@@ -447,6 +517,16 @@ def test_tool_calls_after_white_space(spark):
     assert got[99, 0] == got[99, 1] == (None, [])
 
 
+def test_chats_that_have_no_canonical_form(spark):
+    texts = ['{"tool_call_id":"a","content":1e999}', '{"tool_call_id":"a","content":"\\ud800"}', '{"tool_call_id":"a","content":NaN}', '{"tool_call_id":"a","content":1e308}', "[" * 100000, '{"a":' * 5000]
+    rows = [(1, k, "tool", t) for k, t in enumerate(texts)] + [(1, 9, "assistant", '{"tool_calls":[{"id":"a","name":"f","arguments":{"x":-1e999}},{"id":"b","name":"g","arguments":{}}]}')]
+    rows += [(1, 10, "assistant", '{"tool_calls":[{"id":"b","name":"g","arguments":{"x":[1]}}]}')]
+    got = {r.turn: r for r in chat.format_chats(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"), {"g": {"properties": {"x": {"type": "nope"}}}}).collect()}
+    assert {k: got[k].link for k in range(6)} == {0: None, 1: None, 2: None, 3: "orphan", 4: None, 5: None} and got[9].calls == []
+    assert all(json.loads(got[k].message)["content"] == texts[k] for k in (0, 1, 2, 4, 5))
+    assert [c.check for c in got[10].calls] == ["malformed schema"]
+
+
 def test_registered_chat_queries_with_tool_traffic(spark, tmp_path):
     adder = {"name": "add", "parameters": {"type": "object", "required": ["x"], "properties": {"x": {"type": "integer"}}}}
     call = lambda i, name, **a: {"id": i, "name": name, "arguments": a}
