@@ -29,6 +29,9 @@ from millrace.llm.shingles import mix, text_chunks, word_hashes
 #: An n-gram that the corpus has once, in the document that is scored, is no evidence: two and more count.
 ORDER, MIN_COUNT, BACKOFF = 3, 2, 0.4
 BLOCK_TOKENS = 1_000_000
+#: An order's n-grams are exploded and joined in so many slices of the hashes, one after the other, so that the disk holds
+#: one slice's rows at a time; a power of two.
+SLICES = 2
 #: Rows of exploded n-grams in a batch.
 BATCH_ROWS = 1 << 18
 _U = np.uint64
@@ -99,19 +102,29 @@ def _words_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return words, np.concatenate(([0], np.cumsum(np.array(row["sizes"], np.int64))))
 
 
-def _kinds(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The block's distinct n-grams, sorted; which words end one; and for these words its place among the distinct."""
+def _kinds(words: np.ndarray, first: np.ndarray, n: int, part_of: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The block's distinct n-grams, of a slice or all, sorted; which words end one; and for these words its place among
+    the distinct."""
+    hashes = ngrams(words, first, n)
     possible = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first)) >= n - 1
-    keys, inverse = np.unique(ngrams(words, first, n)[possible], return_inverse=True)
+    if part_of is not None:
+        possible &= _slice(hashes) == _U(part_of)
+    keys, inverse = np.unique(hashes[possible], return_inverse=True)
     return keys, possible, inverse
 
 
-def _placed(answers: list[dict], n: int, size: int) -> np.ndarray:
-    """Counts of the block's distinct n-grams; 0 for what the table does not keep."""
-    out = np.zeros(size, np.int64)
+def _slice(hashes: np.ndarray) -> np.ndarray:
+    """The slice of each hash: sorted hashes have their slices in order."""
+    return hashes >> _U(32) >> _U(32 - (SLICES - 1).bit_length())
+
+
+def _placed(answers: list[dict], n: int, keys: np.ndarray) -> np.ndarray:
+    """Counts of the block's distinct n-grams, which are sorted; 0 for what the table does not keep."""
+    out = np.zeros(len(keys), np.int64)
+    begin = np.searchsorted(_slice(keys), np.arange(SLICES, dtype=_U))
     for row in answers:
         if row["n"] == n:
-            out[np.cumsum(_unpack(row["places"], np.uint32), dtype=np.uint32)] = _unpack(row["counts"], np.int64)
+            out[begin[row["slice"]] + np.cumsum(_unpack(row["places"], np.uint32), dtype=np.uint32)] = _unpack(row["counts"], np.int64)
     return out
 
 
@@ -121,16 +134,17 @@ _ROWS = "hash bigint, block bigint, place int, times bigint"
 _SCHEMA = pa.schema([("hash", pa.int64()), ("block", pa.int64()), ("place", pa.int32()), ("times", pa.int64())])
 
 
-def _exploded(row: dict, n: int, shorter: list[dict] | None) -> Iterator[pa.RecordBatch]:
-    """The rows of a block; with the answers for n - 1 only those whose prefix and suffix are kept."""
+def _exploded(row: dict, n: int, part_of: int, shorter: list[dict] | None) -> Iterator[pa.RecordBatch]:
+    """The rows of a block in a slice, places counted there; with the answers for n - 1 only those whose prefix and
+    suffix are kept."""
     words, first = _words_of(row)
-    keys, possible, inverse = _kinds(words, first, n)
+    keys, possible, inverse = _kinds(words, first, n, part_of)
     times = np.bincount(inverse, minlength=len(keys))
     some = np.arange(len(keys))
     if shorter is not None:
         less, ends, place = _kinds(words, first, n - 1)
         kept = np.zeros(len(words) + 1, bool)
-        kept[:-1][ends] = _placed(shorter, n - 1, len(less))[place] > 0
+        kept[:-1][ends] = _placed(shorter, n - 1, less)[place] > 0
         both = np.zeros(len(keys), bool)
         at = np.flatnonzero(possible)
         both[inverse] = kept[at] & kept[at - 1]
@@ -140,22 +154,22 @@ def _exploded(row: dict, n: int, shorter: list[dict] | None) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), pa.array(np.full(len(part), row["block"])), pa.array(part.astype(np.int32)), pa.array(times[part].astype(np.int64))], schema=_SCHEMA)
 
 
-def _rows(blocks: DataFrame, n: int, shorter: DataFrame | None) -> DataFrame:
+def _rows(blocks: DataFrame, n: int, part_of: int, shorter: DataFrame | None) -> DataFrame:
     if shorter is None:
-        return blocks.mapInArrow(lambda batches: (out for batch in batches for row in batch.to_pylist() for out in _exploded(row, n, None)), _ROWS)
+        return blocks.mapInArrow(lambda batches: (out for batch in batches for row in batch.to_pylist() for out in _exploded(row, n, part_of, None)), _ROWS)
 
     def run(mine: pa.Table, answers: pa.Table) -> pa.Table:
         held = answers.to_pylist()
-        parts = [out for row in mine.to_pylist() for out in _exploded(row, n, held)]
+        parts = [out for row in mine.to_pylist() for out in _exploded(row, n, part_of, held)]
         return pa.Table.from_batches(parts, _SCHEMA)
 
     return blocks.groupBy("block").cogroup(shorter.groupBy("block")).applyInArrow(run, _ROWS)
 
 
-_ANSWERS = "block bigint, n int, places binary, counts binary"
+_ANSWERS = "block bigint, n int, slice int, places binary, counts binary"
 
 
-def _packed(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+def _packed(batches: Iterable[pa.RecordBatch], n: int, part_of: int) -> Iterator[pa.RecordBatch]:
     """A row per block of what has gathered: its places in order and their counts."""
 
     def flush(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -166,7 +180,7 @@ def _packed(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
         ends = np.append(begins[1:], len(block))
         places = [_pack(np.diff(place[a:b].astype(np.uint32), prepend=np.uint32(0))) for a, b in zip(begins, ends)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(block[begins]), pa.array([n] * len(begins), pa.int32()), pa.array(places, pa.binary()), pa.array([_pack(count[a:b]) for a, b in zip(begins, ends)], pa.binary())],
+            [pa.array(block[begins]), pa.array([n] * len(begins), pa.int32()), pa.array([part_of] * len(begins), pa.int32()), pa.array(places, pa.binary()), pa.array([_pack(count[a:b]) for a, b in zip(begins, ends)], pa.binary())],
             names=[x.split()[0] for x in _ANSWERS.split(", ")],
         )
 
@@ -182,11 +196,11 @@ def _packed(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
         yield flush(held)
 
 
-def _answers(rows: DataFrame, n: int, min_count: int) -> DataFrame:
+def _answers(rows: DataFrame, n: int, part_of: int, min_count: int) -> DataFrame:
     """The exploded n-grams with their counts in the corpus, where these are kept. Count table and join are one window
     over the hash: an aggregate beside it would explode and shuffle the same rows once more."""
     counted = rows.withColumn("count", F.sum("times").over(Window.partitionBy("hash"))).where(F.col("count") >= (min_count if n > 1 else 1))
-    return counted.select("block", "place", "count").mapInArrow(lambda b: _packed(b, n), _ANSWERS)
+    return counted.select("block", "place", "count").mapInArrow(lambda b: _packed(b, n, part_of), _ANSWERS)
 
 
 _SCORES = "doc_id bigint, n_words bigint, log_prob double"
@@ -201,7 +215,7 @@ def _scores(blocks: pa.Table, answers: pa.Table, order: int, backoff: float, tot
         for n in range(1, order + 1):
             keys, possible, inverse = _kinds(words, first, n)
             found = np.zeros(len(words), np.int64)
-            found[possible] = _placed(held, n, len(keys))[inverse]
+            found[possible] = _placed(held, n, keys)[inverse]
             better = np.log(np.maximum(found, 1)) - np.log(np.maximum(context, 1))
             score = np.where(found > 0, better, score + np.where(possible & (n > 1), np.log(backoff), 0.0))
             # the count of the context of the next order's n-grams: this order's n-gram one word before
@@ -225,8 +239,8 @@ def score_documents(docs: DataFrame, *, order: int = ORDER, min_count: int = MIN
     total = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     answers: list[DataFrame] = []
     for n in range(1, order + 1):
-        shorter = answers[-1] if n > 2 and min_count > 1 else None
-        answers.append(materialise(_answers(_rows(blocks, n, shorter), n, min_count), f"lm-answers{n}"))
+        shorter = reduce(DataFrame.unionAll, answers[-SLICES:]) if n > 2 and min_count > 1 else None
+        answers += [materialise(_answers(_rows(blocks, n, k, shorter), n, k, min_count), f"lm-answers{n}") for k in range(SLICES)]
     every = reduce(DataFrame.unionAll, answers)
     scored = blocks.groupBy("block").cogroup(every.groupBy("block")).applyInArrow(lambda b, a: _scores(b, a, order, backoff, total), _SCORES)
     return scored.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))
