@@ -11,8 +11,9 @@ passage's answer as well: that is its last sentence, or the column `answer` wher
 Items of fewer than MIN_WORDS words are searched as phrases, word by word. In scripts that are written without spaces
 every character is a word.
 
-Searching is a map over whole documents, without a shuffle. The benchmark is the query set: it is taken in blocks of
-BLOCK_PASSAGES passages, which bounds what a task holds.
+Searching is a map over whole documents, without a shuffle: documents are read once for the frequencies of all terms
+and once for the search. The benchmark is the query set: its blocks of BLOCK_PASSAGES passages bound the matrices that
+are factored, and a task holds the indexes of all blocks, some 5 MB a thousand passages.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm._common import materialise, table
+from millrace.llm._common import materialise, release_memory, table
 from millrace.llm.shingles import mix, text_chunks, word_hashes
 
 PASSAGE_WORDS, CELL_WORDS = 64, 16
@@ -338,7 +339,8 @@ def _held(rows: DataFrame) -> list[Passage]:
 
 
 def build_indexes(docs: DataFrame, benchmark: DataFrame, *, rank: int = RANK) -> list[Index | Phrases]:
-    """An index for each block of passages and of phrases; none for a benchmark without words."""
+    """An index for each block of passages and of phrases; none for a benchmark without words. Documents are read once,
+    for the document frequencies of all blocks."""
     every = materialise(passages_of(benchmark), "bench-passages")
     short = F.octet_length("words") < 8 * MIN_WORDS
     passages, phrases = every.where(~short), every.where(short)
@@ -348,31 +350,33 @@ def build_indexes(docs: DataFrame, benchmark: DataFrame, *, rank: int = RANK) ->
         held = _held(phrases.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(phrase_blocks)) == block))
         if held:
             out.append(Phrases(held))
-    for block in range(blocks):
-        mine = passages.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(blocks)) == block)
-        held = _held(mine)
-        if not held:
-            continue
-        vocabulary = np.unique(np.concatenate([np.array(p.words, np.uint64) for p in held]))
-        counted = docs.select("text").mapInArrow(lambda b, v=vocabulary: _document_counts(b, v), "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
-        n, seen = dict(zip(counted["term"], counted["n"])), np.zeros(len(vocabulary))
-        documents = n.pop(-1, 0)
-        seen[list(n)] = list(n.values())
-        idf = np.log((documents + 1) / (seen + 1)) + 0.05
-        vectors = randomised_svd(mine, vocabulary, idf, rank)
-        out.append(Index(held, vocabulary, idf, float(np.median(idf)), vectors))
+    parts = [passages.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(blocks)) == block) for block in range(blocks)]
+    members = [(mine, held) for mine in parts if (held := _held(mine))]
+    if not members:
+        return out
+    own = [np.unique(np.concatenate([np.array(p.words, np.uint64) for p in held])) for _, held in members]
+    total = np.unique(np.concatenate(own))
+    counted = docs.select("text").mapInArrow(lambda b: _document_counts(b, total), "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    n, seen = dict(zip(counted["term"], counted["n"])), np.zeros(len(total))
+    documents = n.pop(-1, 0)
+    seen[list(n)] = list(n.values())
+    every_idf = np.log((documents + 1) / (seen + 1)) + 0.05
+    for (mine, held), vocabulary in zip(members, own):
+        idf = every_idf[_lookup(total, vocabulary)]
+        out.append(Index(held, vocabulary, idf, float(np.median(idf)), randomised_svd(mine, vocabulary, idf, rank)))
+    release_memory(docs.sparkSession)
     return out
 
 
 _FOUND = "doc_id bigint, item_id bigint, cosine double, lcs double, answer double"
 
 
-def _hits(index: Index | Phrases) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _hits(indexes: list[Index | Phrases]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in text_chunks(batch, 1):
                 ids = batch.column(0).slice(start, len(texts)).to_pylist()
-                rows = [(ids[d], item, *scores) for d, hits in enumerate(index.search(texts)) for item, scores in hits.items()]
+                rows = [(ids[d], item, *scores) for index in indexes for d, hits in enumerate(index.search(texts)) for item, scores in hits.items()]
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=[x.split()[0] for x in _FOUND.split(", ")])
 
@@ -385,20 +389,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Clean documents have no row. Null and empty texts hold nothing; rows of one doc_id count as one document; an empty
     table on either side gives an empty result. Other columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text")
-    out = None
-    for index in build_indexes(docs, benchmark):
-        found = rows.mapInArrow(_hits(index), _FOUND)
-        out = found if out is None else out.unionAll(found)
-    if out is None:
+    indexes = build_indexes(docs, benchmark)
+    if not indexes:
         return docs.sparkSession.createDataFrame([], _FOUND)
+    out = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_hits(indexes), _FOUND)
     return out.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("cosine", "lcs", "answer")])
 
 
-def _clean(index: Index | Phrases, column: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _clean(indexes: list[Index | Phrases], column: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            clean = [not hits for _, texts in text_chunks(batch, column) for hits in index.search(texts)]
+            clean = [not any(found) for _, texts in text_chunks(batch, column) for found in zip(*(index.search(texts) for index in indexes))]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
     return run
@@ -407,10 +408,8 @@ def _clean(index: Index | Phrases, column: int) -> Callable[[Iterable[pa.RecordB
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the rows that hold a benchmark item; all columns pass through. Rows are judged one by one, those
     with a null doc_id too."""
-    out = docs
-    for index in build_indexes(docs, benchmark):
-        out = out.mapInArrow(_clean(index, docs.columns.index("text")), docs.schema)
-    return out
+    indexes = build_indexes(docs, benchmark)
+    return docs.mapInArrow(_clean(indexes, docs.columns.index("text")), docs.schema) if indexes else docs
 
 
 def op4_decontamination(spark, sf_dir: str) -> DataFrame:
