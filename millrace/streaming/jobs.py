@@ -19,12 +19,14 @@ def read_events(spark: SparkSession, path: str, schema: str, *, files_per_trigge
 
 
 def commit_units(units: DataFrame, ledger: Ledger, work: Callable[[DataFrame], tuple[DataFrame, DataFrame]], checkpoint: str) -> StreamingQuery:
-    """Runs work on the units of each micro-batch that aren't acknowledged and commits its (rows, acks) as the save of
-    the batch's number: a batch that is run again after a failure replaces its own save."""
+    """Runs work on the units of each micro-batch that aren't acknowledged and commits its (rows, acks) once, under the
+    query's id and the batch's number: a batch that is run again after its commit changes nothing, and another query on
+    the same ledger, or this one with a fresh checkpoint, has saves of its own."""
 
     def commit(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         rows, acks = work(ledger.pending(batch))
-        ledger.commit(rows, acks, save=batch_id + 1)
+        ledger.commit(rows, acks, source=f"{query}:{batch_id}")
 
     return units.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -4,9 +4,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.techniques import all_techniques, registry_frame, technique_pool
+from millrace.functions.techniques import LAYER_CAPS, all_techniques, compatible, registry_frame, technique_pool
 from millrace.operators import conversations, model_steps, planning, relational, search, telemetry
-from millrace.operators.ledger import Ledger, finished_lines
+from millrace.operators.ledger import Ledger, Locked, finished_lines
 from millrace.plans import recipe
 from millrace.sources import artifacts
 from millrace.streaming import jobs
@@ -63,7 +63,7 @@ def test_plan_is_dealt_evenly_and_repeats(spark):
     pool = technique_pool(families=("encode", "casual_writing", "framing", "indirect"))
     rounds = ({}, {"exact": 2})
     rows = planning.plan(inputs, pool, rounds=rounds).collect()
-    assert len(rows) == 120 and rows == planning.plan(inputs.repartition(7), pool, rounds=rounds).collect()
+    assert len(rows) == 120 and sorted(rows) == sorted(planning.plan(inputs.repartition(7), pool, rounds=rounds).collect())
     known = {t.name: t for t in all_techniques()}
     hacking = sum(any(known[n].layer == "hacking" for n in r.combination) for r in rows if r.iteration == 0)
     assert 29 <= hacking <= 31
@@ -74,6 +74,28 @@ def test_plan_is_dealt_evenly_and_repeats(spark):
     assert [(r.layer, r.target, r.n) for r in short.collect()] == [("manipulation", 30, 0)]
 
 
+def test_plan_in_parts_with_weights(spark):
+    inputs = spark.createDataFrame([(f"s{k:04}", "c" if k % 3 else None, "e") for k in range(600)], "sample_id string, category string, entry_type string")
+    pool = technique_pool(pure_only=True)
+    known = {t.name: t for t in all_techniques()}
+    rows = planning.plan(inputs, pool, rounds=planning.ESCALATION, part_units=100, weights={"framing": 2.0}).collect()
+    assert len(rows) == 2400 and {r.category for r in rows} == {"c", ""}
+    for k, settings in enumerate(planning.ESCALATION):
+        mine = [[known[n] for n in r.combination] for r in rows if r.iteration == k]
+        for picks in mine:
+            assert all(a is b or compatible(a, b) for a in picks for b in picks)
+            assert all(sum(t.layer == layer for t in picks) <= cap for layer, cap in LAYER_CAPS.items())
+            if "exact" in settings:
+                assert len(picks) == settings["exact"]
+            else:
+                assert sum(t.complexity for t in picks) <= settings["max_complexity"]
+        if "rates" in settings:
+            share = sum(any(t.layer == "hacking" for t in picks) for picks in mine) / len(mine)
+            assert abs(share - settings["rates"]["hacking"]) < 0.02
+    turns = Counter(t.families[0] for r in rows for t in map(known.get, r.combination) if r.iteration == 0)
+    assert 1.5 < turns["framing"] / turns["encode"] < 2.5
+
+
 def test_ledger_resumes_and_drops(spark, tmp_path):
     ledger = Ledger(spark, str(tmp_path / "l"), "sample_id string")
     plan = spark.createDataFrame([("a",), ("b",), ("c",)], "sample_id string")
@@ -81,10 +103,13 @@ def test_ledger_resumes_and_drops(spark, tmp_path):
     rows = spark.createDataFrame([("a", "x"), ("b", "y")], "sample_id string, text string")
     acks = rows.select("sample_id", F.lit("done").alias("status"))
     save = ledger.commit(rows, acks)
-    ledger.commit(rows, acks, save)  # a save that is repeated replaces itself
+    again = ledger.commit(rows, acks, source="x")
+    assert save == 1 and again == 2 and ledger.commit(rows.limit(0), acks.limit(0), source="x") == 2  # a source commits once
+    ledger.drop(rows.limit(0), "sample_id string, text string")
+    assert ledger.rows("sample_id string, text string").count() == 4 and [r.save for r in ledger.commits().collect()] == [3]
     assert {r.sample_id for r in ledger.pending(plan).collect()} == {"c"}
     ledger._write(plan, "rows", 9)  # a save that was cut off before its commit
-    assert ledger.rows("sample_id string, text string").count() == 2
+    assert ledger.rows("sample_id string, text string").count() == 4 and ledger.torn().count() == 0
     ledger.drop(plan.where("sample_id = 'a'"), "sample_id string, text string")
     assert {r.sample_id for r in ledger.pending(plan).collect()} == {"a", "c"}
     lines = spark.createDataFrame([(0, "a", None), (1, "b", "x"), (2, "c", None)], "pos int, id string, saved string")
@@ -92,6 +117,58 @@ def test_ledger_resumes_and_drops(spark, tmp_path):
     assert finished_lines(lines.where("saved IS NULL"), ["id"]).count() == 2
 
 
+def test_ledger_survives_what_fails(spark, tmp_path, monkeypatch):
+    ledger, schema = Ledger(spark, str(tmp_path / "l"), "sample_id string"), "sample_id string, text string"
+    rows = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z")], schema)
+    acks = rows.select("sample_id", F.lit("done").alias("status"))
+    ledger.commit(rows, acks)
+    plain = Ledger._write
+    for part in ("rows", "acks", "commits"):
+
+        def fails(self, frame, name, save, part=part):
+            if name == part:
+                raise OSError("disk full")
+            plain(self, frame, name, save)
+
+        monkeypatch.setattr(Ledger, "_write", fails)
+        with pytest.raises(OSError, match="disk full"):
+            ledger.drop(rows.where("sample_id = 'a'"), schema)
+        with pytest.raises(OSError, match="disk full"):
+            ledger.commit(rows, acks)
+        assert ledger.acks().count() == 3 and ledger.rows(schema).count() == 3
+    monkeypatch.setattr(Ledger, "_write", plain)
+    ledger.drop(rows.where("sample_id = 'a'"), schema)
+    assert {r.sample_id for r in ledger.acks().collect()} == {"b", "c"} == {r.sample_id for r in ledger.rows(schema).collect()}
+    # rows that differ each time they are computed are written once
+    shaky = spark.range(50).select(F.uuid().alias("sample_id"), F.lit("t").alias("text"))
+    ledger.commit(shaky, shaky.select("sample_id", F.lit("done").alias("status")))
+    assert ledger.torn().count() == 0
+    with ledger._alone():
+        with pytest.raises(Locked):
+            ledger.commit(rows, acks)
+    with pytest.raises(ZeroDivisionError), ledger._alone():
+        1 / 0
+    assert not ledger.release_lock()
+    ledger._file("_lock")[1].create(ledger._file("_lock")[0], False).close()
+    assert ledger.release_lock() and ledger.commit(rows, acks) == 4
+    ledger._write(rows.limit(1), "rows", 4)
+    assert [(r.save, r.part, r.wanted, r.found) for r in ledger.torn().collect()] == [(4, "rows", 3, 1)]
+
+
+def test_a_stream_replaces_no_save(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "l"), "sample string")
+    first = spark.createDataFrame([("a",), ("b",)], "sample string")
+    done = lambda units: (units, units.select("sample", F.lit("done").alias("status")))
+    ledger.commit(*done(first))
+    spark.createDataFrame([("c",), ("a",)], "sample string").write.json(str(tmp_path / "in"))
+    for checkpoint in ("one", "two"):
+        stream = jobs.read_events(spark, str(tmp_path / "in"), "sample string")
+        jobs.commit_units(stream, ledger, done, str(tmp_path / checkpoint)).awaitTermination(60)
+        assert {r["sample"] for r in ledger.acks().collect()} == {"a", "b", "c"} and ledger.rows("sample string").count() == 3
+    sources = [r.source for r in ledger.commits().orderBy("save").collect()]
+    assert sources[0] is None and len(set(sources)) == 3 and all(x.endswith(":0") and len(x) == 38 for x in sources[1:])
+
+
 def test_csv_artifacts(spark, tmp_path):
     path, schema = str(tmp_path / "a"), "id string, text string, n int"
     assert artifacts.read_rows(spark, path, schema).count() == 0
