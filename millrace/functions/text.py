@@ -1,7 +1,8 @@
-"""Verdicts, cleaning and rendering of texts as column expressions."""
+"""Verdicts, cleaning and rendering of texts as column expressions; cleaning is a scan in Arrow batches."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,24 +43,118 @@ def missing_to_null(cell: Column | str) -> Column:
     return F.when(~_c(cell).isin(*MISSING_CELLS), _c(cell))
 
 
-_CHAT_TOKEN = "<?\\|im_(?:start\\|?>?(?:(?:system|user|assistant)\\b)?|end\\|?>?)"
-# What is replaced, in this order: paired fences, a fence that is left, bold, italics, inline code.
-_MARKDOWN = (
-    ("(?s)```(?:[\\w+#.-]*[ \\t]*\\n)?(.*?)```", "$1"),
-    ("```(?:[\\w+#.-]*[ \\t]*(?:\\n|\\z))?", ""),
-    ("(?U)(?<![\\*\\w])\\*\\*(?!\\s)((?:(?!\\*\\*)[^\\n])+?)(?<!\\s)\\*\\*(?!\\w)", "$1"),
-    ("(?U)(?<![\\*\\w])\\*(?!\\s)([^*\\n]+?)(?<!\\s)\\*(?![\\*\\w])", "$1"),
-    ("`([^\\n]+?)`", "$1"),
-)
+#: How chat turns begin and end, and the roles that may follow a beginning.
+CHAT_MARKS = ("|im_start", "|im_end")
+CHAT_ROLES = ("system", "user", "assistant")
+FENCE, CODE, BOLD, ITALIC = "```", "`", "**", "*"
+
+
+def _is_word(c: str) -> bool:
+    return c.isalnum() or c == "_"
+
+
+def without_chat_marks(text: str) -> str:
+    """Chat marks, whole or cut at either end, become line breaks."""
+    out, at = [], 0
+    while at < len(text):
+        mark = next((m for m in CHAT_MARKS if text.startswith(m, at)), None)
+        if mark is None:
+            out.append(text[at])
+            at += 1
+            continue
+        if out and out[-1] == "<":
+            out.pop()
+        at += len(mark)
+        for tail in "|>":
+            at += text.startswith(tail, at)
+        role = next((r for r in CHAT_ROLES if mark == CHAT_MARKS[0] and text.startswith(r, at) and not _is_word(text[at + len(r) : at + len(r) + 1] or " ")), "")
+        at += len(role)
+        out.append("\n")
+    return "".join(out)
+
+
+def without_fences(text: str) -> str:
+    """Code fences go, and with each opening one the name of a language that has the rest of the line."""
+    outside, *rest = text.split(FENCE)
+    out = [outside]
+    for k, piece in enumerate(rest):
+        opens = k % 2 == 0
+        line, end, body = piece.partition("\n")
+        named = all(_is_word(c) or c in "+#.-" for c in line.rstrip(" \t")) and bool(end or k == len(rest) - 1)
+        out.append(body if opens and named else piece)
+    return "".join(out)
+
+
+def without_pairs(line: str, mark: str) -> str:
+    """Marks around a part of a line go. A mark opens where neither a star nor a word is before it and no space after, and
+    closes where no space is before it and no word (for a single star, no star) after; code marks need nothing but a text
+    between them."""
+    out, at = [], 0
+    while at < len(line):
+        close = _closing(line, mark, at) if line.startswith(mark, at) else -1
+        if close < 0:
+            out.append(line[at])
+            at += 1
+            continue
+        out.append(line[at + len(mark) : close])
+        at = close + len(mark)
+    return "".join(out)
+
+
+def _closing(line: str, mark: str, at: int) -> int:
+    """Where the pair that opens at this place closes, or -1."""
+    start = at + len(mark)
+    if mark == CODE:
+        return line.find(mark, start + 1)
+    before = line[at - 1] if at else " "
+    if before == "*" or _is_word(before) or line[start : start + 1].isspace():
+        return -1
+    close = line.find(mark, start + 1)
+    while close >= 0:
+        after = line[close + len(mark) : close + len(mark) + 1] or " "
+        if mark == ITALIC and "*" in line[start:close]:
+            return -1
+        if not line[close - 1].isspace() and not _is_word(after) and not (mark == ITALIC and after == "*"):
+            return close
+        if mark == BOLD:
+            return -1
+        close = line.find(mark, close + 1)
+    return -1
+
+
+def cleaned(text: str, strip_markdown: bool = True) -> str:
+    """A sample without chat marks, Markdown wrapping and runs of blank lines, trimmed."""
+    text = without_chat_marks(text.replace("\r\n", "\n"))
+    if strip_markdown:
+        lines = without_fences(text).split("\n")
+        for mark in (BOLD, ITALIC, CODE):
+            lines = [without_pairs(line, mark) if mark in line else line for line in lines]
+        text = "\n".join(lines)
+    kept: list[str] = []
+    lines = text.split("\n")
+    k = 0
+    while k < len(lines):
+        blank = k
+        while blank < len(lines) and not lines[blank].strip(" \t\r"):
+            blank += 1
+        # of two blank lines and more that other lines enclose, one stays
+        if blank - k >= 2 and 0 < k and blank < len(lines):
+            kept.append("")
+            k = blank
+        kept.append(lines[k])
+        k += 1
+    return "\n".join(kept).strip()
 
 
 def clean_sample(text: Column | str, strip_markdown: bool = True) -> Column:
-    """A sample without chat tokens, Markdown wrapping and runs of blank lines, trimmed."""
-    out = F.regexp_replace(F.replace(_c(text), F.lit("\r\n"), F.lit("\n")), _CHAT_TOKEN, "\n")
-    for pattern, replacement in _MARKDOWN if strip_markdown else ():
-        out = F.regexp_replace(out, pattern, replacement)
-    out = F.regexp_replace(out, "\\n(?:[ \\t\\r]*\\n){2,}", "\n\n")
-    return F.regexp_replace(out, "(?U)^\\s+|\\s+\\z", "")
+    """cleaned() over a column. Replies of models are few beside the texts that are read, so the scan is one of Python in
+    Arrow batches."""
+
+    @F.pandas_udf("string")
+    def clean(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else cleaned(t, strip_markdown))
+
+    return clean(_c(text))
 
 
 def strip_end_marker(text: Column | str) -> Column:

@@ -94,9 +94,12 @@ EXPRESSIONS: dict[str, Callable[[Column], Column]] = {
 
 
 def _changed_spaces(text: str, rng: random.Random, replacement: str) -> str:
-    at = [k for k, c in enumerate(text) if c == " "]
-    picked = set(rng.sample(at, max(1, round(len(at) * SPACE_SHARE)))) if at else set()
-    return "".join(replacement if k in picked else c for k, c in enumerate(text))
+    """One draw: a sample of the gaps between the parts that single spaces separate, a share of them and one at least."""
+    first, *rest = text.split(" ")
+    gaps = [" "] * len(rest)
+    for k in rng.sample(range(len(gaps)), max(1, round(len(gaps) * SPACE_SHARE))) if gaps else ():
+        gaps[k] = replacement
+    return first + "".join(gap + part for gap, part in zip(gaps, rest))
 
 
 #: What suffixes are made of.
@@ -107,19 +110,24 @@ SUFFIX_SYMBOLS = "∀∃∑⇒∫λΩδ"
 SUFFIX_EMOJI = ("🔓", "⚠️", "✅", "🚀", "🔥", "🤖", "💬", "💯")
 
 
+def _one_run(rng: random.Random, items: tuple[str, ...], room: int) -> tuple[str, int]:
+    """A run and how much room it takes. Draws: the item, then how often (1 to 5, within the room), then for brackets
+    which; brackets open and close, so they take twice the room, as far as it goes, and one at least."""
+    item, times = rng.choice(items), rng.randint(1, min(5, room))
+    if item == "bracket":
+        opening, times = rng.choice(list(SUFFIX_BRACKETS)), min(times, room // 2)
+        return opening * times + SUFFIX_BRACKETS[opening] * times, max(1, 2 * times)
+    return item * times, times
+
+
 def _runs(rng: random.Random, low: int, high: int, items: tuple[str, ...]) -> str:
-    """Random runs of up to five of an item until `length` are there; a bracket's run is pairs."""
-    length, out, filled = rng.randint(low, high), "", 0
-    while filled < length:
-        item = rng.choice(items)
-        run = rng.randint(1, min(5, length - filled))
-        if item != "bracket":
-            out, filled = out + item * run, filled + run
-            continue
-        opening = rng.choice(list(SUFFIX_BRACKETS))
-        pairs = min(run, (length - filled) // 2)
-        out, filled = out + opening * pairs + SUFFIX_BRACKETS[opening] * pairs, filled + max(1, 2 * pairs)
-    return out
+    """Runs that fill a room drawn first."""
+    room, out = rng.randint(low, high), []
+    while room > 0:
+        run, taken = _one_run(rng, items, room)
+        out.append(run)
+        room -= taken
+    return "".join(out)
 
 
 def _listed(rng: random.Random, low: int, high: int, items: tuple[str, ...] | str) -> str:

@@ -1,25 +1,32 @@
 """The plan of an augmentation: which combination of techniques each unit gets.
 
-A group (category, entry_type) is dealt in the order of its sample ids, all iterations together, as a row's earlier
-combinations count. This is a fold with Python's random numbers and runs as one function per group; a group is a
-cell of the taxonomy, which `sub_groups` splits when one of them is too large for a task.
+Dealing is in closed form. A unit has a place in its part of the group (category, entry_type); a layer of rate r is due at
+place p when floor(r * p + offset) steps up, so any run of places gets its share, and families take turns by place. No
+unit needs what another one drew, so a plan is a map over rows once the places are known, and a large group is split into
+parts by a hash of the sample id, each part dealt evenly.
+
+What may still join a combination is a bit mask over the pool: a pick clears what it excludes and, at its layer's cap, the
+rest of its layer.
 """
 
 from __future__ import annotations
 
 import math
 import random
-from collections import Counter
+from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import seed_of
-from millrace.functions.techniques import LAYER_RATES, Technique, candidates, for_requests
+from millrace.functions.techniques import LAYER_CAPS, LAYER_RATES, LAYERS, Technique, compatible
 
 PLAN = "sample_id string, iteration int, combination array<string>, category string, entry_type string, status string"
 MAX_DRAWS = 8
+#: Units of a group that are dealt together.
+PART_UNITS = 50_000
 #: The four rounds of the built-in escalation.
 ESCALATION = (
     {"exact": 1},
@@ -29,113 +36,126 @@ ESCALATION = (
 )
 
 
-class Dealer:
-    """Counts of a group's picks, so that layers come at their rates and families evenly by weight."""
+def bits(mask: int) -> Iterator[int]:
+    while mask:
+        yield (mask & -mask).bit_length() - 1
+        mask &= mask - 1
+
+
+class Pool:
+    """The techniques of a plan as bit masks; technique k is bit k."""
+
+    def __init__(self, techniques: list[Technique], weights: dict[str, float] | None = None):
+        self.techniques = techniques
+        mask = lambda test: sum(1 << k for k, t in enumerate(techniques) if test(t))
+        self.layer = {layer: mask(lambda t, x=layer: t.layer == x) for layer in LAYERS}
+        self.within = [mask(lambda t, c=cost: t.complexity <= c) for cost in range(1 + max((t.complexity for t in techniques), default=0))]
+        self.friends = [mask(lambda t, x=one: t is not x and compatible(t, x)) for one in techniques]
+        self.late = mask(lambda t: "translation" in t.families or t.encode_weight == "light")
+        families = sorted({t.families[0] for t in techniques})
+        # a family of weight w has w times the turns of one of weight 1, spread over the cycle
+        turns = {f: max(1, round(4 * (weights or {}).get(f, 1.0))) for f in families}
+        self.cycle = [f for _, f in sorted(((k + 0.5) / n, f) for f, n in turns.items() for k in range(n))]
+        self.family = {f: mask(lambda t, x=f: t.families[0] == x) for f in families}
+
+    def affordable(self, budget: int | None) -> int:
+        return (1 << len(self.techniques)) - 1 if budget is None else 0 if budget < 0 else self.within[min(budget, len(self.within) - 1)]
+
 
-    def __init__(self, key: tuple, weights: dict[str, float] | None = None):
-        self.key, self.weights, self.position = key, weights or {}, 0
-        self.families: Counter = Counter()
-        self.layers: Counter = Counter()
-        self.offsets: dict[str, float] = {}
+class Combination:
+    """Picks of a unit so far."""
 
-    def due(self, layer: str, rate: float) -> bool:
-        offset = self.offsets.setdefault(layer, random.Random(seed_of(*self.key, layer)).random())
-        return self.layers[layer] < math.floor(rate * self.position + offset)
+    def __init__(self, pool: Pool, allowed: int, rng: random.Random, turn: int, budget: int | None = None):
+        self.pool, self.open, self.rng, self.turn, self.budget = pool, allowed, rng, turn, budget
+        self.picks: list[int] = []
 
-    def least(self, families: list[str]) -> list[str]:
-        share = {f: self.families[f] / self.weights.get(f, 1.0) for f in families}
-        return [f for f in families if share[f] == min(share.values())]
+    def take(self, among: int = -1) -> bool:
+        """One more of `among`, if any may join: of the next family in the cycle that has one, a random one."""
+        choice = self.open & among & self.pool.affordable(self.budget)
+        if not choice:
+            return False
+        cycle = self.pool.cycle
+        at = next(k for k in range(self.turn, self.turn + len(cycle)) if self.pool.family[cycle[k % len(cycle)]] & choice)
+        picked = self.rng.choice([*bits(self.pool.family[cycle[at % len(cycle)]] & choice)])
+        self.turn = at + 1
+        technique = self.pool.techniques[picked]
+        self.picks.append(picked)
+        self.open &= self.pool.friends[picked]
+        if sum(self.pool.techniques[k].layer == technique.layer for k in self.picks) >= LAYER_CAPS.get(technique.layer, math.inf):
+            self.open &= ~self.pool.layer[technique.layer]
+        if self.budget is not None:
+            self.budget -= technique.complexity
+        return True
 
-    def took(self, picks: list[Technique]) -> None:
-        self.families.update(t.families[0] for t in picks)
-        self.layers.update(t.layer for t in picks)
+    def names(self) -> list[str]:
+        return [t.name for t in sorted((self.pool.techniques[k] for k in self.picks), key=lambda t: t.rank)]
 
 
-def _pick(rng: random.Random, options: list[Technique], dealer: Dealer | None) -> Technique:
-    by_family: dict[str, list[Technique]] = {}
-    for t in options:
-        by_family.setdefault(t.families[0], []).append(t)
-    families = list(by_family)
-    return rng.choice(by_family[rng.choice(dealer.least(families) if dealer else families)])
+def due(place: int, rate: float, offset: float) -> bool:
+    return math.floor(rate * place + offset) > math.floor(rate * (place - 1) + offset)
 
 
-def _exactly(rng: random.Random, pool: list[Technique], n: int, dealer: Dealer | None) -> list[Technique]:
-    picked: list[Technique] = []
-    while len(picked) < n and (open_ := candidates(picked, pool)):
-        picked.append(_pick(rng, open_, dealer))
-    return sorted(picked, key=lambda t: t.rank)
+def offset_of(*parts: object) -> float:
+    """A part's offset for a layer, from its key: 0 to 1."""
+    return (seed_of(*parts) >> 12) / (1 << 52)
 
 
-def draw(rng: random.Random, pool: list[Technique], settings: dict, dealer: Dealer | None = None) -> list[Technique]:
-    """A combination in the order it applies: of exactly settings["exact"] techniques, or within a budget of complexity,
-    layer by layer; one more obfuscation may follow a finished request."""
-    allowed = [t for t in pool if settings.get(f"include_{t.layer}", True)]
+def draw(pool: Pool, settings: dict, rng: random.Random, *, turn: int, layers: dict[str, bool]) -> list[str]:
+    """A combination in the order it applies: of exactly settings["exact"] techniques, or, within a budget of complexity,
+    a pick of each layer that is due and up to max_obfuscations of that layer; where `request_obfuscation` is due, one
+    more light one follows the finished request. layers tells what is due."""
+    allowed = sum(pool.layer[layer] for layer in LAYERS if settings.get(f"include_{layer}", True))
     if settings.get("exact") is not None:
-        return _exactly(rng, allowed, settings["exact"], dealer)
-    rates = LAYER_RATES | settings.get("rates", {})
-    picked: list[Technique] = []
-    budget = settings.get("max_complexity", 6)
-
-    def one(layer: str) -> bool:
-        nonlocal budget
-        open_ = [t for t in candidates(picked, allowed, budget) if t.layer == layer]
-        if open_:
-            picked.append(_pick(rng, open_, dealer))
-            budget -= picked[-1].complexity
-        return bool(open_)
-
-    def due(layer: str) -> bool:
-        return settings.get(f"include_{layer}", True) and (dealer.due(layer, rates[layer]) if dealer else rng.random() < rates[layer])
-
-    for layer in ("hacking", "manipulation"):
-        if due(layer):
-            one(layer)
-    for _ in range(settings.get("max_obfuscations", 2)):
-        if not one("obfuscation"):
-            break
-    if due("requests"):
-        one("requests")
-    out = sorted(picked, key=lambda t: t.rank)
-    if settings.get("request_obfuscation") and rng.random() < rates["request_obfuscation"] and (open_ := for_requests(candidates(picked, allowed, budget))):
-        out.append(_pick(rng, open_, dealer))
-    return out
-
-
-def assign(sample_id: str, pool: list[Technique], settings: dict, *, seed: int, iteration: int, used: set[tuple[str, ...]], dealer: Dealer | None) -> list[Technique]:
-    """The unit's combination, drawn again while the sample has had it; only the first draw is dealt."""
-    base, found = seed_of(seed, sample_id, iteration), []
-    for attempt in range(MAX_DRAWS):
-        found = draw(random.Random(base + attempt), pool, settings, dealer if attempt == 0 else None)
-        if tuple(t.name for t in found) not in used:
-            break
-    return found
-
-
-def plan(inputs: DataFrame, pool: list[Technique], *, seed: int = 42, rounds: tuple[dict, ...] = ({},), weights: dict[str, float] | None = None, sub_groups: int = 1) -> DataFrame:
-    """A row per input and round. inputs has sample_id, category and entry_type; null cells of the taxonomy are ''.
-
-    With sub_groups > 1 a group is dealt in so many parts by a hash of the sample id, each evenly.
-    """
-
-    def deal(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        category, entry_type, part = key
-        ids = sorted(rows["sample_id"])
-        used: list[set[tuple[str, ...]]] = [set() for _ in ids]
-        out = []
-        for iteration, settings in enumerate(rounds):
-            dealer = Dealer((seed, category, entry_type, iteration, part) if sub_groups > 1 else (seed, category, entry_type, iteration), weights)
-            for k, sample_id in enumerate(ids):
-                dealer.position += 1
-                picks = assign(sample_id, pool, settings, seed=seed, iteration=iteration, used=used[k], dealer=dealer)
-                names = [t.name for t in picks]
-                used[k].add(tuple(names))
-                dealer.took(picks)
-                out.append((sample_id, iteration, names, category, entry_type, "planned"))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in PLAN.split(", ")])
-
-    cells = inputs.select("sample_id", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("category", "entry_type")]).where("sample_id IS NOT NULL")
-    keyed = cells.withColumn("_part", F.pmod(F.xxhash64("sample_id"), F.lit(sub_groups)).cast("int"))
-    return keyed.groupBy("category", "entry_type", "_part").applyInPandas(deal, PLAN)
+        made = Combination(pool, allowed, rng, turn)
+        while len(made.picks) < settings["exact"] and made.take():
+            pass
+        return made.names()
+    made = Combination(pool, allowed, rng, turn, settings.get("max_complexity", 6))
+    for layer, most in (("hacking", 1), ("manipulation", 1), ("obfuscation", settings.get("max_obfuscations", 2)), ("requests", 1)):
+        for _ in range(most if layers.get(layer, True) else 0):
+            if not made.take(pool.layer[layer]):
+                break
+    names = made.names()
+    if layers.get("request_obfuscation") and made.take(pool.late):
+        names.append(pool.techniques[made.picks[-1]].name)
+    return names
+
+
+def deal(pool: Pool, rounds: tuple[dict, ...], seed: int, sample_id: str, group: tuple[str, str, int], place: int) -> list[list[str]]:
+    """The unit's combination in each round; one that the sample has had is drawn again, as often as MAX_DRAWS."""
+    had: list[list[str]] = []
+    for iteration, settings in enumerate(rounds):
+        rates = LAYER_RATES | settings.get("rates", {})
+        layers = {layer: due(place, rate, offset(seed, *group, iteration, layer)) for layer, rate in rates.items() if layer != "request_obfuscation" or settings.get("request_obfuscation")}
+        base, turn = seed_of(seed, sample_id, iteration), place + int(offset(seed, *group, iteration, "turn") * len(pool.cycle))
+        names: list[str] = []
+        for attempt in range(MAX_DRAWS):
+            names = draw(pool, settings, random.Random(base + attempt), turn=turn + attempt, layers=layers)
+            if names not in had:
+                break
+        had.append(names)
+    return had
+
+
+offset = lru_cache(maxsize=1 << 16)(offset_of)
+
+
+def plan(inputs: DataFrame, pool: list[Technique], *, seed: int = 42, rounds: tuple[dict, ...] = ({},), weights: dict[str, float] | None = None, part_units: int = PART_UNITS) -> DataFrame:
+    """A row per input and round. inputs has sample_id, category and entry_type; null cells of the taxonomy are ''; rows
+    without a sample_id go, and rows that repeat one are one unit. A group of more than part_units units is dealt in parts."""
+    cells = inputs.where("sample_id IS NOT NULL").select("sample_id", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("category", "entry_type")])
+    units = cells.groupBy("sample_id").agg(F.min(F.struct("category", "entry_type")).alias("g")).select("sample_id", "g.*")
+    sizes = units.groupBy("category", "entry_type").agg(F.ceil(F.count(F.lit(1)) / part_units).cast("int").alias("parts"))
+    parted = units.join(sizes, ["category", "entry_type"]).withColumn("part", F.pmod(F.xxhash64("sample_id"), F.col("parts")).cast("int"))
+    placed = parted.withColumn("place", F.row_number().over(Window.partitionBy("category", "entry_type", "part").orderBy("sample_id")))
+
+    @F.pandas_udf("array<array<string>>")
+    def dealt(sample: pd.Series, category: pd.Series, entry_type: pd.Series, part: pd.Series, place: pd.Series) -> pd.Series:
+        masks = Pool(pool, weights)
+        return pd.Series([deal(masks, rounds, seed, s, (c, e, p), n) for s, c, e, p, n in zip(sample, category, entry_type, part, place)], dtype=object)
+
+    made = placed.select("sample_id", "category", "entry_type", F.posexplode(dealt("sample_id", "category", "entry_type", "part", "place")).alias("iteration", "combination"))
+    return made.select("sample_id", "iteration", "combination", "category", "entry_type", F.lit("planned").alias("status"))
 
 
 def short_layers(planned: DataFrame, registry: DataFrame, rates: dict[str, float] | None = None, short: int = 2) -> DataFrame:
@@ -144,5 +164,5 @@ def short_layers(planned: DataFrame, registry: DataFrame, rates: dict[str, float
     sizes = planned.groupBy(*groups).agg(F.count(F.lit(1)).alias("units"))
     goal = F.explode(F.create_map(*[F.lit(x) for pair in (rates or {k: v for k, v in LAYER_RATES.items() if k != "request_obfuscation"}).items() for x in pair])).alias("layer", "rate")
     picks = planned.select(*groups, F.explode("combination").alias("technique")).join(registry.select("technique", "layer"), "technique").groupBy(*groups, "layer").agg(F.count(F.lit(1)).alias("n"))
-    due = sizes.select(*groups, "units", goal).withColumn("target", F.floor(F.col("rate") * F.col("units")))
-    return due.join(picks, [*groups, "layer"], "left").withColumn("n", F.coalesce("n", F.lit(0))).where(F.col("target") - F.col("n") >= short)
+    targets = sizes.select(*groups, "units", goal).withColumn("target", F.floor(F.col("rate") * F.col("units")))
+    return targets.join(picks, [*groups, "layer"], "left").withColumn("n", F.coalesce("n", F.lit(0))).where(F.col("target") - F.col("n") >= short)

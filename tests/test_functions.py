@@ -193,6 +193,6 @@ def test_registry():
     fsh = known["to_fsh_random_short"]
     assert not techniques.compatible(fsh, known["to_base64"]) and techniques.compatible(fsh, known["to_rot13"])
     assert techniques.compatible(fsh, known["to_sensitive_words_encode_base64"])
-    assert techniques.candidates([fsh], [known["to_dap_random_short"]]) == []
+    assert not techniques.compatible(known["to_dap_random_short"], known["to_french"]) and not techniques.compatible(known["to_summarize"], fsh)
     with pytest.raises(ValueError, match="unknown"):
         techniques.technique_pool(names=("nope",))
