@@ -39,7 +39,7 @@ def norm(rows):
 @pytest.mark.parametrize("name", registry.ORACLES)
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got, want = registry.QUERIES[name](spark, SF).toPandas(), con.execute(registry.ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
@@ -203,6 +203,16 @@ def test_lasso_learns_a_conjunction_sparsely():
         assert ((total > 0) == truth(fresh)).mean() > 0.97
 
 
+def test_compiled_score_is_the_models(spark):
+    docs, labels = documents(spark), spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.train(docs, labels)
+    assert model.rules
+    rows = quality.with_statistics(docs.select("doc_id", "text")).withColumn("p", model.score()).select("doc_id", "p", "_s.*").collect()
+    for r in rows:
+        total = model.bias + sum(rule.weight for rule in model.rules if all((r[name] > bound) == above for name, above, bound in rule.tests))
+        assert r.p == pytest.approx(1 / (1 + math.exp(-total)))
+
+
 # -- near copies -------------------------------------------------------------------------------------------------------
 
 
@@ -666,4 +676,12 @@ def test_pipeline_odd(spark, tmp_path):
     for name in ("labels", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
     odd_documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 0
+    odd = odd_documents(spark)
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in got} <= {r.doc_id for r in odd.collect()} and all(0 <= r.taken <= 2 * r.size for r in got)
+    nameless = odd.withColumn("doc_id", F.lit(None).cast("bigint"))
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        kept = stage(spark, nameless, str(tmp_path))
+        assert kept.columns == list(corpus_pipeline.COLUMNS) and kept.count() == 9, name
+    assert corpus_pipeline.mix_sources(spark, nameless, str(tmp_path)).count() == 9
+    assert corpus_pipeline.run(spark, str(tmp_path)).exceptAll(corpus_pipeline.run(spark, str(tmp_path))).count() == 0
