@@ -126,10 +126,11 @@ def iterations(spark, sf_dir):
     return relational.with_iterations(_table(spark, sf_dir, "documents").select("doc_id"), 3).select("doc_id", F.col("iteration").cast("bigint").alias("iteration"))
 
 
-@query("SELECT c.doc_id, p.doc_id AS parent_id FROM documents c JOIN documents p ON substr(md5(c.text), 1, 16) = substr(md5(p.text), 1, 16)")
+@query("SELECT doc_id, min(doc_id) OVER (PARTITION BY substr(md5(text), 1, 16)) AS parent_id FROM documents WHERE text IS NOT NULL")
 def lineage(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", keys.content_id("text").alias("sample_id"))
-    joined = relational.lineage(docs.select("doc_id", F.col("sample_id").alias("input_id")), docs)
+    parents = relational.first_wins(docs, "sample_id", "doc_id")
+    joined = relational.lineage(docs.select("doc_id", F.col("sample_id").alias("input_id")), parents)
     return joined.select("doc_id", F.col("parent.doc_id").alias("parent_id"))
 
 
@@ -160,7 +161,15 @@ def pure_pool(spark, sf_dir):
     return techniques.registry_frame(spark, techniques.technique_pool(pure_only=True)).select("technique", "layer", "complexity")
 
 
-@query()
+_TRAITS = [(t.name, trait) for t in techniques.all_techniques() for trait in sorted(t.traits)]
+
+
+@query(
+    "WITH t(name, trait) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in _TRAITS) + "), x(p, q) AS (VALUES " + ", ".join(f"('{a}', '{b}'), ('{b}', '{a}')" for a, b in techniques.EXCLUSIONS) + """),
+f(name, family) AS (VALUES """ + ", ".join(f"('{t.name}', '{f}')" for t in techniques.all_techniques() for f in t.families) + """)
+SELECT a.name AS a, b.name AS b FROM t a JOIN x ON x.p = a.trait JOIN t b ON b.trait = x.q WHERE a.name <> b.name
+UNION SELECT a.name, b.name FROM f a JOIN f b ON a.family = b.family AND a.name <> b.name"""
+)
 def incompatible_pairs(spark, sf_dir):
     return techniques.incompatible_pairs(spark)
 
@@ -174,6 +183,26 @@ def augmentation_plan(spark, sf_dir):
     return planning.plan(_inputs(spark, sf_dir), techniques.technique_pool(pure_only=True), rounds=planning.ESCALATION)
 
 
+# How often a layer is due in n places is floor(rate * n + offset), the offset being 52 bits of the key's hash.
+_OFFSET = "(('0x' || substr(sha256('42::' || category || '::' || entry_type || '::0::' || iteration || '::hacking'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+
+
+@query(f"""
+WITH g AS (SELECT coalesce(lang, '') AS category, coalesce(source, '') AS entry_type, count(*) AS units FROM documents GROUP BY ALL),
+r(iteration, rate) AS (VALUES (2, 0.7::DOUBLE), (3, 0.9::DOUBLE))
+SELECT category, entry_type, iteration, units, floor(rate * units + {_OFFSET})::BIGINT AS hacking, (2 * units)::BIGINT AS picks_of_exact_rounds FROM g, r""")
+def plan_counts(spark, sf_dir):
+    """Per group: units, picks of the hacking layer in the rounds with a budget, and how many of exactly one technique
+    and of exactly two there are in the rounds before."""
+    pool = techniques.technique_pool(pure_only=True)
+    planned = planning.plan(_inputs(spark, sf_dir), pool, rounds=planning.ESCALATION)
+    layer = F.create_map(*[F.lit(x) for t in pool for x in (t.name, t.layer)])
+    hacking = F.exists("combination", lambda n: F.element_at(layer, n) == "hacking")
+    per = planned.groupBy("category", "entry_type", "iteration").agg(F.count(F.lit(1)).alias("units"), F.count_if(hacking).alias("hacking"), F.count_if(F.size("combination") == F.col("iteration") + 1).alias("exact"))
+    exact = per.where("iteration < 2").groupBy("category", "entry_type").agg(F.sum("exact").alias("picks_of_exact_rounds"))
+    return per.where("iteration >= 2").drop("exact").join(exact, ["category", "entry_type"])
+
+
 _PICKS = ("to_rot13", "to_uppercase", "to_abbreviations", "to_summarize")
 
 
@@ -269,7 +298,8 @@ def render_template(spark, sf_dir):
     return rows.select("item_id", text.render(F.lit("Task {id}: {{{body}}} end"), id=F.col("item_id"), body=F.col("text")).alias("message"))
 
 
-@query()
+@query("""
+SELECT conv_id, turn, CASE WHEN text = '' THEN '**** x' WHEN contains(text, chr(10)) THEN '**' || text || '** x' ELSE text || ' x' END AS cleaned FROM conversations""")
 def clean_sample(spark, sf_dir):
     return _table(spark, sf_dir, "conversations").select("conv_id", "turn", text.clean_sample(F.concat(F.lit("**"), F.col("text"), F.lit("** `x` <|im_end|>"))).alias("cleaned"))
 
@@ -304,6 +334,17 @@ def _translate(a: str, b: str) -> str:
     return "translate(text, '" + a.replace("'", "''") + "', '" + b.replace("'", "''") + "')"
 
 
+def _by_place(one: str) -> str:
+    return f"array_to_string(list_transform(range(1, length(text) + 1), lambda i: {one}), '')"
+
+
+def _abbreviated_sql() -> str:
+    out = "text"
+    for word, short in transforms.ABBREVIATIONS.items():
+        out = f"regexp_replace({out}, '(?i)\\b{word}\\b', '{short}', 'g')"
+    return out
+
+
 _U, _L, _D, _P = transforms._UPPER, transforms._LOWER, transforms._DIGITS, transforms._PRINTABLE
 _TRANSFORM_SQL = {
     "to_rot13": _translate(_U + _L, _U[13:] + _U[:13] + _L[13:] + _L[:13]),
@@ -319,10 +360,10 @@ _TRANSFORM_SQL = {
     "to_lowercase": "lower(text)",
     "to_uppercase": "upper(replace(text, 'ß', 'SS'))",
     "to_dropped_punctuation": "regexp_replace(text, '[.,;:!?'']+([^\\d.,;:!?'']|$)', '\\1', 'g')",
-    "to_base64": None,
-    "to_no_sentence_capitals": None,
-    "to_doubled_punctuation": None,
-    "to_abbreviations": None,
+    "to_base64": "regexp_replace(base64(encode(text)), '(.{1,76})', '\\1' || chr(10), 'g')",
+    "to_no_sentence_capitals": _by_place("CASE WHEN text[i] BETWEEN 'A' AND 'Z' AND (i = 1 OR regexp_matches(text[1:i - 1], '[.!?]\\s+$')) THEN lower(text[i]) ELSE text[i] END"),
+    "to_doubled_punctuation": _by_place("CASE WHEN text[i] IN ('.', '!', '?') AND (i = 1 OR text[i - 1] NOT IN ('.', '!', '?')) AND (i = length(text) OR regexp_matches(text[i + 1], '\\s')) THEN text[i] || text[i] ELSE text[i] END"),
+    "to_abbreviations": _abbreviated_sql(),
 }
 
 
@@ -343,17 +384,35 @@ def _seeded(name: str):
     return run
 
 
+_SEEDED_SQL = {"to_stripped_accents": "SELECT conv_id, turn, strip_accents(text) AS result, '' AS info FROM conversations"}
+
 for _name in transforms.SEEDED:
     if _name != "to_ascii_art":
-        query(None, _name)(_seeded(_name))
+        query(_SEEDED_SQL.get(_name), _name)(_seeded(_name))
 
 
 @query("""
-SELECT item_id, 'v' || (strpos('0123456789abcdef', substr(md5(text), 1, 1)) - 1) % 1 || ' ' || text AS new_text FROM benchmark""")
+SELECT item_id, CASE item_id % 3 WHEN 0 THEN 'note: ' || text WHEN 1 THEN '[plain] ' || text ELSE text END AS new_text,
+       CASE item_id % 3 WHEN 0 THEN 'directive=note;variant=0' WHEN 1 THEN 'directive=plain;variant=0' ELSE '' END AS info FROM benchmark""")
 def template_transform(spark, sf_dir):
-    wordings = transforms.template_table(spark, {"note": ["v0 {prompt}"]})
-    rows = _table(spark, sf_dir, "benchmark").select("item_id", "text", F.lit("note").alias("directive"), F.col("item_id").cast("string").alias("seed"))
-    return transforms.apply_templates(rows, wordings).select("item_id", "new_text")
+    wordings = transforms.template_table(spark, {"note": ["note: {prompt}"], "plain": ["[{directive}] {prompt}"]})
+    directive = F.element_at(F.array(F.lit("note"), F.lit("plain"), F.lit("unknown")), (F.col("item_id") % 3 + 1).cast("int"))
+    rows = _table(spark, sf_dir, "benchmark").select("item_id", "text", directive.alias("directive"), F.col("item_id").cast("string").alias("seed"))
+    return transforms.apply_templates(rows, wordings).select("item_id", "new_text", "info")
+
+
+_CHAIN = ("to_uppercase", "to_rot13", "to_rot47", "to_ascii_ordinal")
+
+
+@query(f"""
+WITH u AS (SELECT conv_id, turn, upper(replace(text, 'ß', 'SS')) AS text, text AS given FROM conversations), r AS (SELECT conv_id, turn, given, text AS up, {_TRANSFORM_SQL['to_rot13']} AS text FROM u),
+s AS (SELECT conv_id, turn, given, up, text AS rot, {_TRANSFORM_SQL['to_rot47']} AS text FROM r)
+SELECT conv_id, turn, {_TRANSFORM_SQL['to_ascii_ordinal']} AS result,
+  array_to_string(list_filter([CASE WHEN up = given THEN 'noop=to_uppercase' END, CASE WHEN rot = up THEN 'noop=to_rot13' END, CASE WHEN text = rot THEN 'noop=to_rot47' END, CASE WHEN text = '' THEN 'noop=to_ascii_ordinal' END], lambda x: x IS NOT NULL), ';') AS info
+FROM s""")
+def chain_without_chance(spark, sf_dir):
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", F.lit("42").alias("seed"), F.col("conv_id").alias("sample_id"), F.col("turn").alias("iteration"), F.array(*map(F.lit, _CHAIN)).alias("combination"))
+    return transforms.run_chains(rows).select("conv_id", "turn", "result", "info")
 
 
 @query()
@@ -369,3 +428,165 @@ def selective_edit(spark, sf_dir):
     rows = _table(spark, sf_dir, "benchmark").withColumn("w", F.array(F.regexp_extract("text", "[A-Za-z]+", 0)))
     return rows.select("item_id", transforms.separated_words(F.col("text"), F.col("w"), "-").alias("result"))
 
+
+# -- units, ledgers, streams -------------------------------------------------------------------------------------------
+
+
+@query("""
+SELECT doc_id AS sample_id, CASE WHEN doc_id % 5 IN (0, 3) THEN 'pending' ELSE 'done' END AS state FROM documents
+UNION ALL SELECT -1, 'torn saves: 0' UNION ALL SELECT -2, 'rows: ' || count(*) FROM documents WHERE doc_id % 5 IN (1, 2, 4)""")
+def ledger_resume(spark, sf_dir):
+    """A ledger with two saves, one that is sent twice, one that was cut off before its commit, and a drop."""
+    from millrace.operators.ledger import Ledger
+    from millrace.sources.scratch import scratch_folder
+
+    ledger = Ledger(spark, scratch_folder(spark, "ledger"), "sample_id bigint")
+    units = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("sample_id"))
+    of = lambda *remainders: units.where(F.pmod("sample_id", F.lit(5)).isin(*remainders))
+    done = lambda rows: (rows, rows.withColumn("status", F.lit("done")))
+    ledger.commit(*done(of(1, 0)))
+    for _ in range(2):
+        ledger.commit(*done(of(2)), source="job:1")
+    ledger._write(of(3), "rows", ledger.next_save())
+    ledger.drop(of(0), "sample_id bigint")
+    ledger.commit(*done(of(4)))
+    state = units.join(ledger.acks().select("sample_id", "status"), "sample_id", "left").select("sample_id", F.coalesce("status", F.lit("pending")).alias("state"))
+    notes = spark.createDataFrame([(-1, f"torn saves: {ledger.torn().count()}"), (-2, f"rows: {ledger.rows('sample_id bigint').count()}")], "sample_id bigint, state string")
+    return state.unionAll(notes)
+
+
+@query("""
+SELECT event_type AS model, epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) // 1000000 AS begins, count(*) AS calls, sum(user_id)::BIGINT AS in_tok,
+       sum(event_id)::BIGINT AS out_tok, count(*) FILTER (event_id % 11 = 0) AS errors FROM events GROUP BY ALL""")
+def usage_windows(spark, sf_dir):
+    """The streaming roll-up over the table as a batch: the same plan, all windows closed."""
+    from millrace.streaming import jobs
+
+    ts = F.col("ts").cast("timestamp")
+    calls = _calls(spark, sf_dir).join(_table(spark, sf_dir, "events").select(F.col("event_id").alias("out_tok"), ts.alias("ts")), "out_tok")
+    rolled = jobs.usage_windows(calls, width="1 hour")
+    return rolled.select("model", F.unix_seconds("window.start").alias("begins"), "calls", "in_tok", "out_tok", "errors")
+
+
+@query("""
+WITH e AS (SELECT user_id, epoch_us(ts) AS t FROM events), g AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY user_id ORDER BY t) < 1800000000 THEN 0 ELSE 1 END AS new FROM e),
+s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS n FROM g)
+SELECT user_id, min(t) // 1000000 AS begins, count(*) AS events FROM s GROUP BY user_id, n""")
+def session_windows(spark, sf_dir):
+    from millrace.streaming import jobs
+
+    rolled = jobs.sessions(_table(spark, sf_dir, "events").select("ts", "user_id"), "user_id")
+    return rolled.select("user_id", F.unix_seconds("session_window.start").alias("begins"), "events")
+
+
+@query("SELECT DISTINCT substr(md5(text), 1, 16) AS sample_id FROM documents WHERE text IS NOT NULL")
+def first_arrivals(spark, sf_dir):
+    """Arrival-order dedup as a stream over a folder of JSON lines."""
+    from millrace.sources.scratch import scratch_folder
+    from millrace.streaming import jobs
+
+    folder = scratch_folder(spark, "arrivals")
+    _table(spark, sf_dir, "documents").where("text IS NOT NULL").select(F.col("text").alias("sample")).write.json(f"{folder}/in")
+    arrived = jobs.first_arrivals(jobs.read_events(spark, f"{folder}/in", "sample string")).select("sample_id")
+    query_ = arrived.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint").option("path", f"{folder}/out").trigger(availableNow=True).start()
+    query_.awaitTermination()
+    return spark.read.schema("sample_id string").parquet(f"{folder}/out")
+
+
+@query("""
+WITH g AS (SELECT lang AS category, source AS entry_type, count(*) AS units FROM documents GROUP BY ALL), r(layer, rate) AS (VALUES ('hacking', 0.5), ('requests', 0.7))
+SELECT category, entry_type, 0 AS iteration, layer, units, floor(rate * units)::BIGINT AS target, 0 AS n FROM g, r WHERE floor(rate * units) >= 2""")
+def short_layers(spark, sf_dir):
+    """A plan without a pick of two layers that have rates."""
+    planned = _inputs(spark, sf_dir).select("category", "entry_type", F.lit(0).alias("iteration"), F.array(F.lit("to_rot13")).alias("combination"))
+    return planning.short_layers(planned, techniques.registry_frame(spark), {"hacking": 0.5, "requests": 0.7}).drop("rate")
+
+
+@query("""
+WITH r(provider, gpu, rate) AS (VALUES ('click', 'g0', 1.5::DOUBLE), ('view', 'g1', 2.5::DOUBLE), ('*', 'g1', 0.5::DOUBLE), ('*', 'g2', 0.25::DOUBLE))
+SELECT e.event_id, coalesce(o.rate, a.rate) AS rate FROM events e LEFT JOIN r o ON o.provider = e.event_type AND o.gpu = 'g' || e.user_id % 4
+LEFT JOIN r a ON a.provider = '*' AND a.gpu = 'g' || e.user_id % 4""")
+def hourly_rate(spark, sf_dir):
+    rates = spark.createDataFrame([("click", "g0", 1.5), ("view", "g1", 2.5), ("*", "g1", 0.5), ("*", "g2", 0.25)], "provider string, gpu string, rate double")
+    cards = _table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("provider"), F.concat(F.lit("g"), (F.col("user_id") % 4).cast("string")).alias("gpu"))
+    return telemetry.hourly_rate(cards, rates).select("event_id", "rate")
+
+
+# -- messages ----------------------------------------------------------------------------------------------------------
+
+
+@query("""
+SELECT conv_id, string_agg(role || '=' || text, '|' ORDER BY turn) AS messages, count(*)::INTEGER AS n FROM conversations GROUP BY conv_id""")
+def as_messages(spark, sf_dir):
+
+    steps = _table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.struct("role", "text").alias("m")))).alias("l"))
+    shaped = F.transform("l", lambda x: F.struct(F.lit("message").alias("type"), x["m"]["role"].alias("actor"), x["m"]["text"].alias("content"), x["m"]["role"].alias("role"), F.lit(None).cast("string").alias("model"), F.expr("CAST(map() AS map<string,string>)").alias("meta")))
+    said = conversations.as_messages(shaped)
+    return steps.select("conv_id", F.array_join(F.transform(said, lambda m: F.concat(m["role"], F.lit("="), m["content"])), "|").alias("messages"), F.size(said).alias("n"))
+
+
+@query("""
+SELECT conv_id, turn, CASE WHEN text <> lower(text) AND text = upper(text) THEN 'WORD' WHEN upper(text) <> lower(text) AND text = lower(text) THEN 'word'
+  WHEN substr(text, 1, 1) <> lower(substr(text, 1, 1)) THEN 'Word' ELSE 'wORD' END AS matched FROM conversations""")
+def match_case(spark, sf_dir):
+    return _table(spark, sf_dir, "conversations").select("conv_id", "turn", text.match_case(F.col("text"), F.lit("wORD")).alias("matched"))
+
+
+@query("""
+SELECT conv_id, string_agg('- ' || text, chr(10) ORDER BY turn) FILTER (n <= 2) || CASE WHEN count(*) > 2 THEN chr(10) || '… and ' || (count(*) - 2) || ' more' ELSE '' END AS note
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations) GROUP BY conv_id""")
+def prohibited_note(spark, sf_dir):
+    rows = _table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t"))
+    return rows.select("conv_id", text.prohibited_note(F.col("t.text"), 2).alias("note"))
+
+
+@query("""
+SELECT conv_id, coalesce(string_agg('- ' || substr(text, 1, 20), chr(10) ORDER BY turn) FILTER (role = 'assistant' AND n <= 3), '') AS feedback
+FROM (SELECT *, sum(CASE WHEN role = 'assistant' AND text <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations WHERE role <> 'assistant' OR text <> '') GROUP BY conv_id""")
+def rejection_feedback(spark, sf_dir):
+    rows = _table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", (F.col("role") != "assistant").alias("accepted"), F.col("text").alias("reasoning")))).alias("t"))
+    return rows.select("conv_id", text.rejection_feedback(F.col("t"), 3, 20).alias("feedback"))
+
+
+@query("SELECT item_id, 'a' || item_id || ',b' AS names FROM benchmark")
+def field_names(spark, sf_dir):
+    template = F.concat(F.lit("{{no}} {a"), F.col("item_id"), F.lit("} {b} {b.x} {{{b}}}"))
+    return _table(spark, sf_dir, "benchmark").select("item_id", F.array_join(text.field_names(template), ",").alias("names"))
+
+
+@query("SELECT item_id, 0 AS pos, 'Q ' || item_id AS question, 'A ' || item_id AS answer FROM benchmark UNION ALL SELECT item_id, 1, 'second', 'two' || chr(10) || 'lines' FROM benchmark")
+def question_answers(spark, sf_dir):
+    reply = F.concat(F.lit("Sure:\n**Prompt 1:**\n**Question:** Q "), F.col("item_id"), F.lit("\n**Answer:** A "), F.col("item_id"), F.lit("\n**Prompt 2:**\n**Question:**\nsecond\n**Answer:** two\nlines"))
+    rows = _table(spark, sf_dir, "benchmark").select("item_id", reply.alias("reply"))
+    return rows.lateralJoin(parsing.QuestionAnswers(F.col("reply").outer(), F.lit(2))).select("item_id", "pos", "question", "answer")
+
+
+# -- files -------------------------------------------------------------------------------------------------------------
+
+
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE text END AS sample, lang AS category FROM documents
+UNION ALL SELECT doc_id, 'x,"y"' || chr(10) || 'z', NULL FROM documents WHERE doc_id % 10 = 0""")
+def csv_round_trip(spark, sf_dir):
+    """Two appends to a CSV artifact, read back with the missing cells as null."""
+    from millrace.sources import artifacts
+    from millrace.sources.scratch import scratch_folder
+
+    path, schema = scratch_folder(spark, "csv"), "doc_id bigint, sample string, category string"
+    docs = _table(spark, sf_dir, "documents")
+    artifacts.append_rows(docs.select("doc_id", F.when(F.col("doc_id") % 4 == 0, "NaN").otherwise(F.col("text")).alias("sample"), F.col("lang").alias("category")), path, schema)
+    artifacts.append_rows(docs.where("doc_id % 10 = 0").select("doc_id", F.lit('x,"y"\nz').alias("sample")), path, schema)
+    return artifacts.read_rows(spark, path, schema, na_to_null=True)
+
+
+@query("SELECT d.doc_id, lang AS category FROM documents d JOIN labels l USING (doc_id) WHERE quality = 1 AND lang = 'en'")
+def category_tree(spark, sf_dir):
+    """A tree of categories, of which one is overwritten, read by category and accepted rows."""
+    from millrace.sources import artifacts
+    from millrace.sources.scratch import scratch_folder
+
+    path, schema = scratch_folder(spark, "tree"), "doc_id bigint, accepted boolean, category string"
+    rows = _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels"), "doc_id").select("doc_id", (F.col("quality") == 1).alias("accepted"), F.col("lang").alias("category"))
+    artifacts.write_tree(rows.withColumn("accepted", F.lit(False)), path)
+    artifacts.write_tree(rows.where("category = 'en'"), path)
+    return artifacts.read_tree(spark, path, schema, ["en"], accepted_only=True).select("doc_id", "category")
