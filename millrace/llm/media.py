@@ -28,6 +28,8 @@ BLOCK = 64
 MAX_ACROSS = 8191
 #: Bytes of payload that are encoded, or of media that are decoded, at a time.
 CHUNK_BYTES = 4 << 20
+#: Blocks whose bits are spread out at a time.
+BLOCKS_AT_ONCE = 1 << 15
 
 
 def padded(data: bytes) -> bytes:
@@ -39,6 +41,21 @@ def _segment(marker: int, body: bytes) -> bytes:
     return struct.pack(">BBH", 0xFF, marker, len(body) + 2) + body
 
 
+def _coded(values: np.ndarray) -> bytes:
+    """The scan's bytes of some blocks, a restart marker after each."""
+    bits = np.zeros((len(values), BLOCK, 9), np.uint8)
+    bits[:, :, 1:] = np.unpackbits(values, axis=1).reshape(len(values), BLOCK, 8)
+    coded = np.empty((len(values), 9 * BLOCK // 8 + 2), np.uint8)
+    coded[:, :-2] = np.packbits(bits.reshape(len(values), -1), axis=1)
+    coded[:, -2], coded[:, -1] = 0xFF, 0xD0 + np.arange(len(values)) % 8
+    stuffed = coded == 0xFF
+    stuffed[:, -2:] = False
+    flat = np.repeat(coded.reshape(-1), 1 + stuffed.reshape(-1))
+    at = np.flatnonzero(stuffed.reshape(-1))
+    flat[at + np.arange(len(at)) + 1] = 0
+    return flat.tobytes()
+
+
 def encode(payload: bytes) -> bytes:
     """A baseline JPEG whose quantised coefficients are the payload's bytes, a multiple of 64 of them.
 
@@ -53,16 +70,8 @@ def encode(payload: bytes) -> bytes:
         raise ValueError("payload too large for a baseline JPEG")
     values = np.zeros((across * down, BLOCK), np.uint8)
     values.reshape(-1)[: len(payload)] = np.frombuffer(payload, np.uint8)
-    bits = np.zeros((len(values), BLOCK, 9), np.uint8)
-    bits[:, :, 1:] = np.unpackbits(values, axis=1).reshape(len(values), BLOCK, 8)
-    coded = np.empty((len(values), 9 * BLOCK // 8 + 2), np.uint8)
-    coded[:, :-2] = np.packbits(bits.reshape(len(values), -1), axis=1)
-    coded[:, -2], coded[:, -1] = 0xFF, 0xD0 + np.arange(len(values)) % 8
-    stuffed = coded == 0xFF
-    stuffed[:, -2:] = False
-    flat = np.repeat(coded.reshape(-1), 1 + stuffed.reshape(-1))
-    at = np.flatnonzero(stuffed.reshape(-1))
-    flat[at + np.arange(len(at)) + 1] = 0
+    # slices of a multiple of 8 blocks, as restart markers repeat every 8
+    scan = b"".join(_coded(values[low : low + BLOCKS_AT_ONCE]) for low in range(0, len(values), BLOCKS_AT_ONCE))
     huffman = bytes([1] + [0] * 15) + bytes([8])
     return b"".join(
         (
@@ -74,7 +83,7 @@ def encode(payload: bytes) -> bytes:
             _segment(0xC4, b"\0" + huffman + b"\x10" + huffman),
             _segment(0xDD, struct.pack(">H", 1)),
             _segment(0xDA, bytes([1, 1, 0x00, 0, 63, 0])),
-            flat[:-2].tobytes(),
+            scan[:-2],
             b"\xff\xd9",
         )
     )
@@ -168,8 +177,9 @@ def _intervals(data: bytes, start: int) -> tuple[np.ndarray, np.ndarray]:
     keep[at[after == 0] + 1] = False
     keep[at[restart]] = False
     keep[at[restart] + 1] = False
-    before = np.cumsum(keep)
-    return scan[:end][keep], np.concatenate(([0], before[at[restart]]))
+    markers = at[restart]
+    dropped = np.searchsorted(at[after == 0], markers) + 2 * np.arange(len(markers))
+    return scan[:end][keep], np.concatenate(([0], markers - dropped))
 
 
 def decode_many(images: list[tuple[Header, bytes]]) -> list[np.ndarray | None]:
@@ -192,8 +202,11 @@ def decode_many(images: list[tuple[Header, bytes]]) -> list[np.ndarray | None]:
         blocks.append(base[-1] + np.arange(len(at)) * each)
         owner.append(np.full(len(at), k))
         base.append(base[-1] + header.blocks)
-    stream = np.concatenate([*data, np.zeros(8, np.uint8)]).astype(np.int64)
-    window = (stream[:-2] << 16) | (stream[1:-1] << 8) | stream[2:]
+    stream = np.concatenate([*data, np.zeros(8, np.uint8)])
+    window = stream[:-2].astype(np.int32)
+    for after in (stream[1:-1], stream[2:]):
+        window <<= 8
+        window |= after
     bit, block, who = np.concatenate(begins) * 8, np.concatenate(blocks), np.concatenate(owner)
     each = first.interval or 0
     upto = np.array([base[k + 1] for k in range(len(images))])[who]

@@ -11,6 +11,10 @@ import pyarrow.compute as pc
 
 #: Bytes of text that are hashed at a time.
 CHUNK_BYTES = 1 << 20
+#: Bytes whose places and values are held at a time, however long a text or word is.
+WINDOW_BYTES = 1 << 21
+#: Places of a word with a value of their own; later ones take these again, times a factor for each round.
+PLACES = 1 << 16
 _U = np.uint64
 
 
@@ -19,9 +23,9 @@ def _byte_values() -> np.ndarray:
     return np.random.default_rng(101).integers(0, 1 << 64, 256, _U)
 
 
-@lru_cache(maxsize=4)
-def _place_values(size: int) -> np.ndarray:
-    return np.random.default_rng(102).integers(0, 1 << 64, size, _U) | _U(1)
+@lru_cache(maxsize=1)
+def _place_values() -> np.ndarray:
+    return np.random.default_rng(102).integers(0, 1 << 64, PLACES, _U) | _U(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,24 +35,48 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def _weights(within: np.ndarray) -> np.ndarray:
+    """Odd factors for places within a word."""
+    if not len(within) or int(within.max()) < PLACES:
+        return _place_values()[within]
+    # mix(0) is 0, so the first round's factor is 1
+    return _place_values()[within & (PLACES - 1)] * (mix((within >> 16).astype(_U) << _U(1)) | _U(1))
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts in order, A-Z in lower case, and each text's first word (one more at
-    the end). Words are what stands between the bytes 9 to 13 and 32."""
+    the end). Words are what stands between the bytes 9 to 13 and 32; one that crosses windows is summed piece by
+    piece, so memory beside the texts and hashes is that of a window."""
     joined = np.frombuffer(b"\n".join([*texts, b""]).lower(), np.uint8)
-    space = (joined == 32) | ((joined >= 9) & (joined <= 13))
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
-    starts, ends = edge[::2], edge[1::2]
+    starts, sizes, sums = [], [], []
+    carried = 0  # bytes so far of the word that is open where a window begins
+    for low in range(0, len(joined), WINDOW_BYTES):
+        part = joined[low : low + WINDOW_BYTES]
+        space = (part == 32) | ((part >= 9) & (part <= 13))
+        edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
+        begin, size = edge[::2], edge[1::2] - edge[::2]
+        if not len(begin):
+            carried = 0
+            continue
+        before = np.cumsum(size) - size
+        within = np.arange(size.sum()) - np.repeat(before, size)
+        goes_on = int(carried > 0 and begin[0] == 0)
+        if goes_on:
+            within[: size[0]] += carried
+        total = np.add.reduceat(_byte_values()[part[~space]] * _weights(within), before)
+        if goes_on:
+            sums[-1][-1:] += total[:1]
+            sizes[-1][-1] += size[0]
+        if len(begin) > goes_on:
+            starts.append(begin[goes_on:] + low)
+            sizes.append(size[goes_on:])
+            sums.append(total[goes_on:])
+        carried = 0 if space[-1] else int(sizes[-1][-1])
     offsets = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts]))).astype(np.int64)
-    first = np.searchsorted(starts, offsets)
-    if not len(starts):
-        return np.empty(0, _U), first
-    lengths = ends - starts
-    # equal lengths in powers of two, so that few tables of place values are made
-    places = _place_values(1 << max(6, int(lengths.max() - 1).bit_length()))
-    within = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    values = _byte_values()[joined[~space]] * places[within]
-    sums = np.add.reduceat(values, np.cumsum(lengths) - lengths)
-    return mix(sums + lengths.astype(_U) * _U(0x9E3779B97F4A7C15)), first
+    if not starts:
+        return np.empty(0, _U), np.zeros(len(offsets), np.int64)
+    hashes = mix(np.concatenate(sums) + np.concatenate(sizes).astype(_U) * _U(0x9E3779B97F4A7C15))
+    return hashes, np.searchsorted(np.concatenate(starts), offsets)
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:

@@ -685,3 +685,32 @@ def test_pipeline_odd(spark, tmp_path):
         assert kept.columns == list(corpus_pipeline.COLUMNS) and kept.count() == 9, name
     assert corpus_pipeline.mix_sources(spark, nameless, str(tmp_path)).count() == 9
     assert corpus_pipeline.run(spark, str(tmp_path)).exceptAll(corpus_pipeline.run(spark, str(tmp_path))).count() == 0
+
+
+def test_long_words_are_hashed_in_windows(monkeypatch):
+    from millrace.llm import shingles
+
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("abC \n") for _ in range(n)).encode() for n in (0, 1, 40, 300)] + [b"x" * 50, b" ", b"a b", b"y" * 64 + b" z"]
+    whole, first = shingles.word_hashes(texts)
+    assert len(whole) == sum(len(t.split()) for t in texts)
+    for window in (1, 2, 7, 64, 1000):
+        monkeypatch.setattr(shingles, "WINDOW_BYTES", window)
+        again, first_again = shingles.word_hashes(texts)
+        assert (again == whole).all() and (first_again == first).all()
+    monkeypatch.undo()
+    # beyond the places with values of their own a word still depends on every byte's place
+    n = shingles.PLACES
+    words = [b"a" * (2 * n) + b"b", b"a" * n + b"b" + b"a" * n, b"b" + b"a" * (2 * n), b"a" * (2 * n + 1)]
+    assert len(set(shingles.word_hashes(words)[0].tolist())) == 4
+
+
+def test_long_payloads_are_coded_in_slices(monkeypatch):
+    from millrace.llm import media
+
+    data = media.padded(bytes(range(256)) * 40 + b"\xff" * 300)
+    whole = media.encode(data)
+    monkeypatch.setattr(media, "BLOCKS_AT_ONCE", 8)
+    assert media.encode(data) == whole
+    header = media.parse_header(whole)
+    assert media.stored_bytes(header, media.decode_many([(header, whole)])[0]) == data
