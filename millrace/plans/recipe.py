@@ -141,16 +141,46 @@ def outputs(run: Run, params: dict) -> DataFrame:
     return done.select("input_id", "input_prompt", "category", "entry_type", F.lit(target).alias("model"), content_id("text").alias("sample_id"), F.col("text").alias("output_response"), "accepted", F.coalesce("reasoning", "error").alias("rejection_reason"))
 
 
+PARAPHRASES = "sample_id string, input_id string, iteration int, sample string, category string, entry_type string, paraphrase_model string, accepted boolean, reasoning string, source string"
+
+
+def _originals(run: Run, target: str) -> DataFrame:
+    """The accepted texts of a target: inputs, outputs or both. Outputs of equal text are one unit."""
+    columns = {"inputs": "sample", "outputs": "output_response"}
+    if target != "both" and target not in columns:
+        raise ValueError(f"nothing to paraphrase: {target}")
+    parts = [
+        run.table(name).where("accepted").select(F.lit(name).alias("source"), F.col("sample_id").alias("input_id"), F.col(column).alias("original"), "category", "entry_type")
+        for name, column in columns.items()
+        if target in (name, "both")
+    ]
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    ordered = rows.withColumn("_k", F.concat_ws("|", "source", "input_id")).withColumn("_o", F.concat_ws("|", "category", "entry_type"))
+    return relational.first_wins(ordered, "_k", "_o").drop("_k", "_o")
+
+
 def paraphrases(run: Run, params: dict) -> DataFrame:
-    """k rewordings of each accepted input, each by a model that a hash picks of the pool; no-ops and repeats go."""
-    pool, k = run.recipe.role("paraphraser"), params.get("k", 1)
-    rows = relational.with_iterations(run.table("inputs").where("accepted").select(F.col("sample_id").alias("input_id"), "sample", "category", "entry_type"), k)
+    """k rewordings of each accepted text, each by a model that a hash picks of the pool, then checked against it.
+
+    A rejected rewording stays as such. Empty ones, those equal to their original and repeats of any rewording are
+    dropped, but acknowledged as dropped_dedup, so that they aren't asked for again. A unit whose call failed has no
+    acknowledgement and is asked again by the next run."""
+    pool, checker, k = run.recipe.role("paraphraser"), run.recipe.role("checker")[0], params.get("k", 1)
+    keys = ["source", "input_id", "iteration"]
+    ledger = Ledger(run.spark, f"{run.folder}/ledger/paraphrases", "source string, input_id string, iteration int")
+    number, save = ledger.next_save(), run.save("paraphrases")
+    units = ledger.pending(relational.with_iterations(_originals(run, params.get("target", "inputs")), k))
     bucket = hash_bucket(len(pool), F.lit(str(params.get("seed", 42))), F.col("input_id"), F.col("iteration").cast("string"))
-    model = F.element_at(F.array(*map(F.lit, pool)), bucket + 1)
-    told = run.save("paraphrases")(run.ask(rows.withColumn("paraphrase_model", model), F.col("paraphrase_model"), F.concat(F.lit("reword: "), F.col("sample"))), "replies")
-    new = told.where("error IS NULL").withColumn("original", F.col("sample")).withColumn("sample", text.clean_sample("reply")).where("trim(sample) <> '' AND sample <> original")
-    unique = relational.first_wins(new.withColumn("sample_id", content_id("sample")).withColumn("_o", F.concat_ws("|", "input_id", F.lpad(F.col("iteration").cast("string"), 6, "0"))), "sample_id", "_o")
-    return unique.select("sample_id", "input_id", "iteration", "sample", "category", "entry_type", "paraphrase_model", F.lit(True).alias("accepted"))
+    asked = units.withColumn("paraphrase_model", F.element_at(F.array(*map(F.lit, pool)), bucket + 1))
+    told = save(run.ask(asked, F.col("paraphrase_model"), F.concat(F.lit("reword: "), F.col("original"))), f"replies-{number}").where("error IS NULL")
+    made = told.drop("error", "error_kind").withColumn("sample", text.clean_sample("reply")).withColumn("sample_id", content_id("sample")).drop("reply")
+    new = made.where("trim(sample) <> '' AND sample <> original").join(ledger.rows(PARAPHRASES).select("sample_id"), "sample_id", "left_anti")
+    unique = relational.first_wins(new.withColumn("_o", F.concat_ws("|", "source", "input_id", F.lpad(F.col("iteration").cast("string"), 6, "0"))), "sample_id", "_o").drop("_o")
+    tested = save(run.ask(unique, checker, F.concat(F.lit("check: "), F.col("original"), F.lit("\n"), F.col("sample"))), f"checked-{number}")
+    rows = tested.where("error IS NULL").withColumn("v", text.verdict("reply")).select("sample_id", "input_id", "iteration", "sample", "category", "entry_type", "paraphrase_model", F.col("v.accepted").alias("accepted"), F.col("v.reasoning").alias("reasoning"), "source")
+    dropped = told.join(tested.select(*keys), keys, "left_anti")
+    ledger.commit(rows, rows.select(*keys, F.lit("done").alias("status")).unionAll(dropped.select(*keys, F.lit("dropped_dedup").alias("status"))))
+    return ledger.rows(PARAPHRASES)
 
 
 def augmentation(run: Run, params: dict) -> DataFrame:

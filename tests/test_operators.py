@@ -273,3 +273,41 @@ def test_recipe(spark, tmp_path):
     for wrong in ({"stages": []}, {"stages": ["nope"]}, {"stages": ["build"], "other": 1}, {"stages": ["build"], "params": {"inputs": {}}}):
         with pytest.raises(ValueError):
             recipe.Recipe.load(wrong)
+
+
+def test_paraphrases_are_checked_and_drops_acknowledged(spark, tmp_path):
+    def transport(requests):
+        out = []
+        for r in requests:
+            kind, _, said = r["messages"][-1]["content"].partition(": ")
+            if kind == "check":
+                out.append("no, another meaning" if "bad text" in said else "yes")
+            else:
+                out.append({"same": "same", "void": " ", "dup1": "one text", "dup2": "one text", "bad": "bad text"}.get(said, said + " again"))
+        return out
+
+    def broken(requests):
+        raise ConnectionError("down")
+
+    texts = ["same", "void", "dup1", "dup2", "bad", "plain"]
+    inputs = [(t, t, "c", "e", True) for t in texts] + [("left out", "left out", "c", "e", False)]
+    spark.createDataFrame(inputs, "sample_id string, sample string, category string, entry_type string, accepted boolean").write.parquet(f"{tmp_path}/inputs")
+    outputs = [("o", "plain", "c", "e", True), ("o", "plain", "c", "f", True)]
+    spark.createDataFrame(outputs, "sample_id string, output_response string, category string, entry_type string, accepted boolean").write.parquet(f"{tmp_path}/outputs")
+    loaded = recipe.Recipe.load({"stages": ["paraphrases"], "models": {"checker": "check", "paraphraser": ["p1", "p2"]}, "params": {"paraphrases": {"target": "both"}}})
+    down = recipe.Run(spark, str(tmp_path), loaded, broken)
+    assert recipe.run_recipe(down) == {"paraphrases": 0}
+    acks = Ledger(spark, f"{tmp_path}/ledger/paraphrases", "source string, input_id string, iteration int").acks
+    assert acks().isEmpty()
+    run = recipe.Run(spark, str(tmp_path), loaded, transport)
+    recipe.run_recipe(run)
+    found = {(r.input_id, r.sample, r.accepted) for r in run.table("paraphrases").collect()}
+    # dup1 comes before dup2, and the input "plain" before the output of the same rewording
+    assert found == {("dup1", "one text", True), ("bad", "bad text", False), ("plain", "plain again", True)}
+    assert {(r.source, r.input_id, r.status) for r in acks().collect()} == {
+        *[("inputs", t, "done") for t in ("dup1", "bad", "plain")], *[("inputs", t, "dropped_dedup") for t in ("same", "void", "dup2")], ("outputs", "o", "dropped_dedup"),
+    }
+    # nothing is asked again
+    assert recipe.run_recipe(down) == {"paraphrases": 3}
+    with pytest.raises(ValueError):
+        recipe._originals(run, "elsewhere")
