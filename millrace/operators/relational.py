@@ -80,6 +80,12 @@ def file_counts(rows: DataFrame, keep: dict[str, object] | None = None, accepted
     return rows.agg(F.count(F.lit(1)).alias("rows"), yes.alias("accepted"))
 
 
+def most_common(rows: DataFrame, column: str, n: int | None = None) -> DataFrame:
+    """The values of a column by how many rows have them, the most frequent first, ties by value; n of them if given."""
+    counted = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), column)
+    return counted if n is None else counted.limit(n)
+
+
 def acceptance(rows: DataFrame, by: tuple[str, ...], accepted: Column) -> DataFrame:
     """Per group: extracted, accepted, rejected and the rate (0 for none)."""
     held = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("extracted"), F.count_if(accepted).alias("n_accepted"))

@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Backends that cost no money per token.
 LOCAL_BACKENDS = ("vllm", "introspection")
 
 
+#: A call event as usage() reads it.
+EVENT = "ev string, stage string, model string, backend string, n_items bigint, in_tok bigint, out_tok bigint, ms double, cut boolean, error string"
+
+
+def append_events(events: DataFrame, path: str) -> None:
+    """Adds events to a trace of JSON lines; null fields are left out of their lines."""
+    events.write.mode("append").json(path)
+
+
+def read_trace(spark: SparkSession, path: str, schema: str = EVENT) -> DataFrame:
+    """The events of a trace."""
+    return spark.read.schema(schema).json(path)
+
+
 def usage(events: DataFrame, prices: DataFrame) -> DataFrame:
     """Per model: calls, items, tokens, milliseconds, replies cut, errors, and cost_usd of its hosted calls.
 

@@ -590,3 +590,85 @@ def category_tree(spark, sf_dir):
     artifacts.write_tree(rows.withColumn("accepted", F.lit(False)), path)
     artifacts.write_tree(rows.where("category = 'en'"), path)
     return artifacts.read_tree(spark, path, schema, ["en"], accepted_only=True).select("doc_id", "category")
+
+
+@query("""
+SELECT d.doc_id, lang AS category, 'plain' AS tree FROM documents d JOIN labels l USING (doc_id) WHERE quality = 1 AND lang IS NOT NULL
+UNION ALL SELECT d.doc_id, lang, 'seeded' FROM documents d JOIN labels l USING (doc_id) WHERE quality = 1 AND lang = 'en'""")
+def input_tree(spark, sf_dir):
+    """The accepted inputs of a run before and after its seeded tree is written."""
+    from millrace.sources import artifacts
+    from millrace.sources.scratch import scratch_folder
+
+    seeded, plain, schema = scratch_folder(spark, "seeded"), scratch_folder(spark, "plain"), "doc_id bigint, accepted boolean, category string"
+    rows = _table(spark, sf_dir, "documents").where("lang IS NOT NULL").join(_table(spark, sf_dir, "labels"), "doc_id").select("doc_id", (F.col("quality") == 1).alias("accepted"), F.col("lang").alias("category"))
+    read = lambda tag: artifacts.read_inputs(spark, seeded, plain, schema).select("doc_id", "category", F.lit(tag).alias("tree"))
+    artifacts.write_tree(rows, plain)
+    before = read("plain")
+    artifacts.write_tree(rows.where("category = 'en'"), seeded)
+    return before.unionAll(read("seeded"))
+
+
+@query(ORACLES["usage_rollup"])
+def usage_trace(spark, sf_dir):
+    """The roll-up of call events that went through a trace of JSON lines."""
+    from millrace.sources.scratch import scratch_folder
+
+    path = scratch_folder(spark, "trace")
+    telemetry.append_events(_calls(spark, sf_dir), path)
+    prices = spark.createDataFrame([("click", 0.2, 0.9), ("view", 0.2, None)], "model string, price_in double, price_out double")
+    return telemetry.usage(telemetry.read_trace(spark, path), prices)
+
+
+@query("SELECT source, count(*) AS n FROM documents GROUP BY source")
+def most_common(spark, sf_dir):
+    return relational.most_common(_table(spark, sf_dir, "documents"), "source")
+
+
+# -- generation --------------------------------------------------------------------------------------------------------
+
+
+@query("""
+SELECT item_id, 'system=Be {brief}. Give 2 items.|user=q|assistant=a|user=' || text || ' {' || item_id || '} of kind x' AS messages FROM benchmark""")
+def prompt_messages(spark, sf_dir):
+    from millrace.functions.prompts import Prompt
+
+    config = {"system_prompt": "Be {{brief}}.", "template": "{text} {{{item}}} of kind {kind}", "few_shot_examples": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]}
+    prompt = Prompt(config, {"num_samples": "2", "kind": "x"}, "numbered", {"numbered": " Give {num_samples} items."})
+    said = prompt.messages(text=F.col("text"), item=F.col("item_id"))
+    return _table(spark, sf_dir, "benchmark").select("item_id", F.array_join(F.transform(said, lambda m: F.concat(m["role"], F.lit("="), m["content"])), "|").alias("messages"))
+
+
+@query("""
+SELECT item_id, CASE WHEN item_id % 3 = 2 THEN 'item ' || item_id || ';two' ELSE '' END AS strict,
+  'item ' || item_id || CASE item_id % 3 WHEN 0 THEN '' WHEN 1 THEN chr(10) || '3. two' ELSE ';two' END AS loose FROM benchmark""")
+def strict_samples(spark, sf_dir):
+    """Replies with one item, a wrong number, and two items, read with and without the number that was asked for."""
+    reply = F.concat(F.lit("1. **item "), F.col("item_id"), F.lit("**"), F.expr("CASE item_id % 3 WHEN 0 THEN '' WHEN 1 THEN '\\n3. two' ELSE '\\n2. two' END"))
+    rows = _table(spark, sf_dir, "benchmark").select("item_id", reply.alias("reply"))
+    return rows.select("item_id", F.array_join(parsing.samples("reply", 2), ";").alias("strict"), F.array_join(parsing.samples("reply"), ";").alias("loose"))
+
+
+@query("""
+WITH c AS (SELECT DISTINCT lang AS category FROM documents WHERE lang IS NOT NULL), t AS (SELECT category, turn, pos, (category = 'en')::INTEGER + 2 * turn + pos AS k FROM c, range(3) a(turn), range(2) b(pos))
+SELECT category, category || ' ' || k AS sample, turn::INTEGER AS turn, pos::INTEGER AS pos, k % 2 = 0 AS accepted, CASE k % 2 WHEN 0 THEN '' ELSE 'no: odd' END AS reasoning FROM t""")
+def standalone_turns(spark, sf_dir):
+    """Turns until three samples of each category are accepted. The generator counts on from what it is told is known,
+    and the checker refuses odd numbers."""
+    from millrace.operators import generation, model_steps
+    from millrace.sources.scratch import scratch_folder
+
+    langs = _table(spark, sf_dir, "documents").where("lang IS NOT NULL").select(F.col("lang").alias("category")).distinct()
+    known = F.when(F.col("prohibited") == "", 0).otherwise(F.size(F.split("prohibited", "\n")))
+    numbered = lambda k: F.concat(F.lit(f"{k + 1}. "), F.col("category"), F.lit(" "), (known + k).cast("string"))
+    odd = F.regexp_extract("sample", "\\d+$", 0).cast("int") % 2 == 1
+    return generation.until_target(
+        langs,
+        lambda r: r.withColumn("reply", F.concat_ws("\n", numbered(0), numbered(1))),
+        lambda reply: parsing.samples(reply, 2),
+        lambda r: r.withColumn("reply", F.when(odd, "no: odd").otherwise("yes")).withColumn("error", F.lit(None).cast("string")),
+        model_steps.saver(scratch_folder(spark, "turns")),
+        target=3,
+        per_request=2,
+        existing=spark.createDataFrame([("en", "en 0")], "category string, sample string"),
+    )

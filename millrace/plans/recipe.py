@@ -7,7 +7,6 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +14,7 @@ from millrace.functions import parsing, text
 from millrace.functions.keys import content_id, hash_bucket
 from millrace.functions.techniques import Technique, registry_frame, technique_pool
 from millrace.functions.transforms import run_chains
-from millrace.operators import model_steps, planning, relational
+from millrace.operators import generation, model_steps, planning, relational
 from millrace.operators.ledger import Ledger
 from millrace.sources import artifacts
 
@@ -25,6 +24,14 @@ STAGE_ORDER = ("constitution", "inputs", "outputs", "paraphrases", "augmentation
 AUGMENTATION = {"rounds": 1, "families": None, "techniques": [], "without_families": [], "without": [], "max_complexity": 6, "max_obfuscations": 2, "pure_only": True, "seed": 42, "family_weights": None}
 
 
+def load_params(given: str | dict | None) -> dict:
+    """A stage's params as a dict or JSON text; none is an empty dict."""
+    found = json.loads(given) if isinstance(given, str) else dict(given or {})
+    if not isinstance(found, dict):
+        raise ValueError("params must be an object")
+    return found
+
+
 def resolve_augmentation(given: dict | None) -> dict:
     """The settings over the defaults; unknown names and values out of range are refused."""
     if unknown := set(given or {}) - set(AUGMENTATION):
@@ -64,7 +71,7 @@ class Recipe:
             raise ValueError("stages must be named, each once")
         if unknown := set(given.get("params", {})) - set(stages):
             raise ValueError(f"params of stages that don't run: {', '.join(sorted(unknown))}")
-        recipe = cls(given.get("name", "run"), sorted(stages, key=STAGE_ORDER.index), given.get("params", {}), {k: [v] if isinstance(v, str) else list(v) for k, v in given.get("models", {}).items()})
+        recipe = cls(given.get("name", "run"), sorted(stages, key=STAGE_ORDER.index), {k: load_params(v) for k, v in given.get("params", {}).items()}, {k: [v] if isinstance(v, str) else list(v) for k, v in given.get("models", {}).items()})
         if "augmentation" in stages:
             resolve_augmentation(recipe.params.get("augmentation"))
         return recipe
@@ -106,24 +113,46 @@ def constitution(run: Run, params: dict) -> DataFrame:
 
 
 def inputs(run: Run, params: dict) -> DataFrame:
-    """Per description a checked sample list: generated until it parses, the first of each text kept, then judged."""
+    """Per description a checked sample list: generated until it parses, the first of each text kept, then judged.
+    With `standalone` the categories themselves are asked for, without descriptions."""
+    if params.get("standalone"):
+        return standalone(run, params)
     plan = run.table("constitution").select("sample_description", "entry_type", F.col("source_category").alias("category"))
     model = run.recipe.role("generator")[0]
-    made = model_steps.extracted(plan, lambda r: run.ask(r, model, F.concat(F.lit("samples of: "), F.col("sample_description"))), lambda c: numbered(F.col(c)), run.save("inputs"), attempts=params.get("attempts", 3))
+    made = model_steps.extracted(plan, lambda r: run.ask(r, model, F.concat(F.lit("samples of: "), F.col("sample_description"))), lambda c: parsing.samples(c, params.get("samples_per_request")), run.save("inputs"), attempts=params.get("attempts", 3))
     samples = made.select("category", "entry_type", "sample_description", F.posexplode("items").alias("pos", "sample")).withColumn("sample_id", content_id("sample"))
     unique = relational.first_wins(samples.withColumn("_o", F.concat_ws("|", "category", "entry_type", "sample_description", F.lpad(F.col("pos").cast("string"), 6, "0"))), "sample_id", "_o").drop("_o", "pos")
     judged = run.save("inputs")(run.ask(unique, run.recipe.role("checker")[0], F.concat(F.lit("check: "), F.col("sample"))), "judged")
     return judged.where("error IS NULL").withColumn("v", text.verdict("reply")).select("sample_id", "sample", "category", "entry_type", F.lit(0).alias("turn"), F.col("v.accepted").alias("accepted"), F.col("v.reasoning").alias("rejection_reason"), F.lit("generated").alias("source"))
 
 
-def numbered(reply: Any) -> Any:
-    """The items of a numbered list as an array column."""
-
-    @F.pandas_udf("array<string>")
-    def items(replies: pd.Series) -> pd.Series:
-        return replies.map(parsing.numbered_items)
-
-    return items(reply)
+def standalone(run: Run, params: dict) -> DataFrame:
+    """Samples of each of the run's categories, in turns until enough are accepted (see generation.until_target). Seeds
+    are the user's (`seeds`, lists by category) or asked for; a category without any is left out."""
+    model, checker, given = run.recipe.role("generator")[0], run.recipe.role("checker")[0], params.get("seeds")
+    per_request = params.get("samples_per_request", 5)
+    save = run.save("standalone")
+    rows = run.spark.createDataFrame(list(run.categories.items()), "category string, about string")
+    if given is None:
+        asked = run.ask(rows, model, F.concat_ws("\n", F.concat(F.lit("seeds of: "), F.col("category")), "about"))
+        listed = save(asked.select("category", "about", parsing.samples("reply").alias("seeds")), "seeds")
+    else:
+        seeds = run.spark.createDataFrame(list(given.items()), "category string, seeds array<string>")
+        listed = rows.join(seeds, "category")
+    seeded = listed.where(F.size("seeds") > 0).withColumn("seeds", text.ordinal_list("seeds"))
+    said = F.concat_ws("\n", F.concat(F.lit(f"{per_request} samples of: "), F.col("category")), *[F.when(F.col(c) != "", F.col(c)) for c in ("about", "seeds", "prohibited", "feedback")])
+    made = generation.until_target(
+        seeded,
+        lambda r: run.ask(r, model, said),
+        lambda reply: parsing.samples(reply, per_request),
+        lambda r: run.ask(r, checker, F.concat(F.lit("check: "), F.col("sample"))),
+        save,
+        target=params.get("samples_per_category", 15),
+        per_request=per_request,
+    )
+    ordered = made.withColumn("sample_id", content_id("sample")).withColumn("_o", F.struct("turn", "pos", "category"))
+    unique = relational.first_wins(ordered, "sample_id", "_o")
+    return unique.select("sample_id", "sample", "category", F.lit(params.get("entry_type", text.ENTRY_TYPES[-1])).alias("entry_type"), "turn", "accepted", F.col("reasoning").alias("rejection_reason"), F.lit("metaprompt").alias("source"))
 
 
 def outputs(run: Run, params: dict) -> DataFrame:

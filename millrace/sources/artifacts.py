@@ -102,6 +102,12 @@ def discover_categories(spark: SparkSession, path: str, schema: str) -> list[str
     return [r[0] for r in read_tree(spark, path, schema).select("category").distinct().orderBy("category").collect()]
 
 
+def read_inputs(spark: SparkSession, seeded: str, plain: str, schema: str) -> DataFrame:
+    """The accepted samples of a run's input tree: the seeded one if it has any rows, else the plain one."""
+    tree = plain if read_tree(spark, seeded, schema).isEmpty() else seeded
+    return read_tree(spark, tree, schema, accepted_only=True)
+
+
 def load_filtered(spark: SparkSession, path: str, *, fmt: str = "parquet", filters: dict[str, list] | None = None, excludes: dict[str, list] | None = None, columns: list[str] | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
     """A hub's export: rows whose columns are among `filters` and not among `excludes`, then the columns."""
     rows = spark.read.format(fmt).option("header", True).load(path)
@@ -122,6 +128,12 @@ def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.posexplode("categories").alias("pos", "category", "info")).select("pos", "category", "info.*")
 
 
+def first_categories(taxonomy: DataFrame, n: int | None) -> DataFrame:
+    """The first n categories of a taxonomy in its order, or all; a feature, not a sample."""
+    ordered = taxonomy.orderBy("pos")
+    return ordered if n is None else ordered.limit(n)
+
+
 def taxonomy_document(name: str, categories: dict[str, str | dict], *, description: str = "", aliases: dict[str, str] | None = None, groups: dict[str, list[str]] | None = None) -> str:
     """The document's JSON; a bare string is a description."""
     full = {k: {"description": v} if isinstance(v, str) else v for k, v in categories.items()}

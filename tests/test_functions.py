@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions import keys, parsing, techniques, text, transforms
+from millrace.functions import keys, parsing, prompts, techniques, text, transforms
 
 SF = "/root/testdata/sf0.001"
 
@@ -196,3 +196,41 @@ def test_registry():
     assert not techniques.compatible(known["to_dap_random_short"], known["to_french"]) and not techniques.compatible(known["to_summarize"], fsh)
     with pytest.raises(ValueError, match="unknown"):
         techniques.technique_pool(names=("nope",))
+
+
+def test_samples_with_counts():
+    assert parsing.samples_of("1. **a**\n2. b") == ["a", "b"]
+    assert parsing.samples_of("1. a\n2. b", "2") == ["a", "b"]
+    assert parsing.samples_of("1. a\n2. b", 3) == []
+    assert parsing.samples_of("1. a\n2. ```\n```", 2) == []
+    assert parsing.samples_of("3. a") == ["a"] and parsing.samples_of("3. a", 1) == []
+    assert parsing.samples_of(None, 1) == [] and parsing.samples_of("") == []
+    for wrong in (0, -1, True, 1.0, None, "x", ""):
+        with pytest.raises(ValueError):
+            parsing.sample_count(wrong)
+
+
+def test_prompts(spark):
+    rows = spark.createDataFrame([("v {x}",), (None,)], "v string")
+    prompt = prompts.Prompt.load('{"template": "{a}{b}"}', values={"a": "shared", "b": ""})
+    got = rows.select(prompt.messages(a=F.col("v")).alias("m")).collect()
+    assert [[tuple(m) for m in r.m] for r in got] == [[("user", "v {x}")], []]
+    with pytest.raises(ValueError, match="template lacks b"):
+        prompts.Prompt({"template": "{b}"}).messages()
+    with pytest.raises(ValueError, match="system_prompt lacks c"):
+        prompts.Prompt({"system_prompt": "{{a}} {c}"})
+    with pytest.raises(ValueError):
+        prompts.Prompt({}, {}, "numbered", {"numbered": "{num_samples}"})
+    with pytest.raises(ValueError):
+        prompts.Prompt.load("[]")
+    assert prompts.Prompt({}, {"num_samples": 3}, "numbered", {"numbered": "{num_samples}"}).system == "3"
+    for style in ("other", "structured_qa"):
+        with pytest.raises(ValueError):
+            prompts.format_instruction({"numbered": ""}, style, 1)
+
+
+def test_registry_problems():
+    assert techniques.registry_problems({"a", "b"}, {"b", "_note"}) == ["not specified: a"]
+    assert techniques.registry_problems({"a"}, {"a", "c"}) == ["not registered: c"]
+    assert techniques.uses_translation(techniques.technique_pool(families=("translation",)))
+    assert not techniques.uses_translation(techniques.technique_pool(families=("encode",)))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.techniques import LAYER_CAPS, all_techniques, compatible, registry_frame, technique_pool
-from millrace.operators import conversations, model_steps, planning, relational, search, telemetry
+from millrace.operators import conversations, generation, model_steps, planning, relational, search, telemetry
 from millrace.operators.ledger import Ledger, Locked, finished_lines
 from millrace.plans import recipe
 from millrace.sources import artifacts
@@ -311,3 +311,55 @@ def test_paraphrases_are_checked_and_drops_acknowledged(spark, tmp_path):
     assert recipe.run_recipe(down) == {"paraphrases": 3}
     with pytest.raises(ValueError):
         recipe._originals(run, "elsewhere")
+
+
+def test_standalone_inputs(spark, tmp_path):
+
+    def transport(requests):
+        out = []
+        for r in requests:
+            said = r["messages"][-1]["content"]
+            if said.startswith("check: "):
+                out.append("No: dull" if said.endswith("one") else "Yes.")
+            elif "same" in said:
+                out.append("1. one\n2. two")
+            else:
+                out.append("no list" if "mute" in said else f"1. one\n2. known {said.count('known')}{' told' if 'dull' in said else ''}")
+        return out
+
+    params = {"inputs": {"standalone": True, "samples_per_category": 3, "samples_per_request": 2, "seeds": {"same": ["s"], "mute": ["s"], "more": ["s"], "unseeded": []}}}
+    loaded = recipe.Recipe.load({"stages": ["inputs"], "models": {"generator": "gen", "checker": "check"}, "params": params})
+    run = recipe.Run(spark, str(tmp_path), loaded, transport, {k: "" for k in ("same", "mute", "more", "unseeded", "without")})
+    recipe.run_recipe(run)
+    rows = {(r.category, r.sample, r.turn, r.accepted, r.rejection_reason) for r in run.table("inputs").collect()}
+    # "one" of both categories is one text, kept where it came first; "same" stops at the turn that brings nothing new
+    assert rows == {("more", "one", 0, False, "No: dull"), ("more", "known 0", 0, True, ""), ("same", "two", 0, True, ""), ("more", "known 1 told", 1, True, ""), ("more", "known 2", 2, True, "")}
+
+
+def test_generation_bounds(spark, tmp_path):
+    rows = spark.createDataFrame([("a",)], "category string")
+    call = lambda **k: generation.until_target(rows, None, None, None, model_steps.saver(str(tmp_path)), **k)
+    assert call(target=0, per_request=2).isEmpty()
+    for wrong in ({"target": -1, "per_request": 1}, {"target": 1, "per_request": 0}):
+        with pytest.raises(ValueError):
+            call(**wrong)
+
+
+def test_inputs_trace_and_counts(spark, tmp_path):
+    schema = "sample string, accepted boolean, category string"
+    samples = spark.createDataFrame([("x", True, "a"), ("y", False, "a")], schema)
+    read = lambda: [r.sample for r in artifacts.read_inputs(spark, str(tmp_path / "s"), str(tmp_path / "p"), schema).collect()]
+    assert read() == []
+    artifacts.write_tree(samples, str(tmp_path / "p"))
+    assert read() == ["x"]
+    artifacts.write_tree(samples.withColumn("sample", F.lit("z")), str(tmp_path / "s"))
+    assert read() == ["z"]
+    rows = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "k string")
+    assert [tuple(r) for r in relational.most_common(rows, "k", 2).collect()] == [("c", 2), ("a", 1)]
+    events = spark.createDataFrame([("call", 1.5, None)], "ev string, ms double, model string")
+    for _ in range(2):
+        telemetry.append_events(events, str(tmp_path / "t"))
+    assert [(r.ev, r.ms, r.model, r.cut) for r in telemetry.read_trace(spark, str(tmp_path / "t")).collect()] == [("call", 1.5, None, None)] * 2
+    taxonomy = spark.createDataFrame([(1, "b"), (0, "a")], "pos int, category string")
+    assert [r.category for r in artifacts.first_categories(taxonomy, 1).collect()] == ["a"]
+    assert artifacts.first_categories(taxonomy, None).count() == 2
