@@ -1,8 +1,8 @@
 """Media columns: baseline JPEG, written and read in numpy.
 
 The writer stores bytes without loss in the format's own unit, the quantised coefficient: 64 bytes are an 8x8 block of a
-one-component image. The reader parses markers, Huffman-decodes the scan of any baseline one-component JPEG and
-rebuilds the luminance thumbnail from the DC coefficients alone. It decodes in lockstep: all restart intervals of all
+one-component image. The reader parses markers, Huffman-decodes the first scan of any baseline JPEG of one component or
+of luminance and two colours, subsampled or not, and rebuilds the luminance thumbnail from the DC coefficients alone. It decodes in lockstep: all restart intervals of all
 images of a batch that share their tables advance by one symbol a step, so the cost of a step is that of a few array
 operations, whatever the number of images.
 """
@@ -91,24 +91,50 @@ def encode(payload: bytes) -> bytes:
 
 @dataclass
 class Header:
+    """What a scan needs. A unit is what the scan repeats: one block, or the blocks of all components where they are
+    interleaved; `parts` has the component of each of its blocks, 0 being luminance. `luma` is how many blocks of
+    luminance a unit has across and down, `shape` the rows and columns of luminance blocks within the image."""
+
     width: int
     height: int
     quant_dc: int
     interval: int
-    tables: bytes
+    tables: tuple[tuple[bytes, bytes], ...]
     comment: bytes
     scan_at: int
+    parts: tuple[int, ...]
+    across: int
+    down: int
+    luma: tuple[int, int]
+    shape: tuple[int, int]
+    components: int
 
     @property
     def blocks(self) -> int:
-        return -(-self.width // 8) * -(-self.height // 8)
+        return self.across * self.down * len(self.parts)
+
+    @property
+    def interval_blocks(self) -> int:
+        return self.interval * len(self.parts)
+
+
+def _frame(body: bytes) -> tuple[int, int, list[tuple[int, int, int, int]]]:
+    """Height, width, and per component its name, sampling across and down, and quantiser."""
+    height, width = struct.unpack_from(">HH", body, 1)
+    if body[0] != 8 or body[5] not in (1, 3) or len(body) < 6 + 3 * body[5]:
+        raise ValueError("not 8-bit samples of one or three components")
+    found = [(body[k], body[k + 1] >> 4, body[k + 1] & 15, body[k + 2]) for k in range(6, 6 + 3 * body[5], 3)]
+    if not width or not height or any(not 1 <= x <= 4 for c in found for x in c[1:3]):
+        raise ValueError("no size or sampling")
+    return height, width, found
 
 
 def parse_header(data: bytes) -> Header:
-    """Reads the markers up to the scan. Raises ValueError for what isn't a baseline JPEG of one component."""
+    """Reads the markers up to the first scan. Raises ValueError for what isn't a baseline JPEG with a luminance
+    component: alone, interleaved with two others, or first in a scan of its own."""
     if data[:2] != b"\xff\xd8":
         raise ValueError("no start of image")
-    at, interval, comment, frame, scan = 2, 0, b"", None, None
+    at, interval, comment, frame, scan, untransformed = 2, 0, b"", None, None, False
     quant: dict[int, int] = {}
     huffman: dict[int, bytes] = {}
     while scan is None:
@@ -132,23 +158,45 @@ def parse_header(data: bytes) -> Header:
                 size = 17 + sum(body[1:17])
                 huffman[body[0]], body = body[1:size], body[size:]
         elif marker == 0xC0:
-            if body[0] != 8 or body[5] != 1:
-                raise ValueError("not 8-bit samples of one component")
-            frame = struct.unpack_from(">HH", body, 1) + (body[8],)
+            frame = _frame(body)
         elif 0xC1 <= marker <= 0xCF and marker != 0xCC:
             raise ValueError("not baseline")
         elif marker == 0xDD:
             interval = struct.unpack(">H", body[:2])[0]
         elif marker == 0xFE:
             comment = body
+        elif marker == 0xEE and body[:5] == b"Adobe":
+            untransformed = body[11:12] == b"\0"
         elif marker == 0xDA:
-            if body[0] != 1:
-                raise ValueError("not one component")
-            scan = body[2]
-    if frame is None or frame[2] not in quant or (scan >> 4) not in huffman or 16 + (scan & 15) not in huffman:
-        raise ValueError("a frame or table is missing")
-    dc, ac = huffman[scan >> 4], huffman[16 + (scan & 15)]
-    return Header(frame[1], frame[0], quant[frame[2]], interval, len(dc).to_bytes(2, "big") + dc + ac, comment, at)
+            scan = {body[1 + 2 * k]: body[2 + 2 * k] for k in range(body[0])}
+    if frame is None:
+        raise ValueError("a frame is missing")
+    height, width, components = frame
+    if untransformed and len(components) == 3:
+        raise ValueError("RGB, which has no luminance")
+    names = [c[0] for c in components]
+    chosen = [names.index(name) if name in names else -1 for name in scan]
+    if sorted(chosen) != list(range(len(names))) and chosen != [0]:
+        raise ValueError("the first scan has neither all components nor luminance alone")
+    codes = [(x >> 4, 16 + (x & 15)) for x in scan.values()]
+    if components[0][3] not in quant or any(dc not in huffman or ac not in huffman for dc, ac in codes):
+        raise ValueError("a table is missing")
+    tables: list[tuple[bytes, bytes]] = [(b"", b"")] * len(chosen)
+    for k, (dc, ac) in zip(chosen, codes):
+        tables[k] = huffman[dc], huffman[ac]
+    most_h, most_v = max(c[1] for c in components), max(c[2] for c in components)
+    _, h, v, q = components[0]
+    cols, rows = -(-width * h // (8 * most_h)), -(-height * v // (8 * most_v))
+    if len(chosen) == 1:
+        parts, luma, across, down = (0,), (1, 1), cols, rows
+    else:
+        parts = tuple(k for k in chosen for _ in range(components[k][1] * components[k][2]))
+        luma, across, down = (h, v), -(-width // (8 * most_h)), -(-height // (8 * most_v))
+    header = Header(width, height, quant[q], interval, tuple(tables), comment, at, parts, across, down, luma, (rows, cols), len(components))
+    # a block takes two bits at least
+    if header.blocks > 4 * (len(data) - at):
+        raise ValueError("a cut scan")
+    return header
 
 
 def _lookup(table_: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -183,17 +231,18 @@ def _intervals(data: bytes, start: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def decode_many(images: list[tuple[Header, bytes]]) -> list[np.ndarray | None]:
-    """The quantised coefficients, in zigzag order, of images that share tables and interval: (blocks, 64) each, or
-    None where the scan is damaged."""
+    """The quantised coefficients, in zigzag order, of images that share tables, interval and parts: (blocks, 64) each,
+    in the scan's order, or None where the scan is damaged."""
     first = images[0][0]
-    split = 2 + int.from_bytes(first.tables[:2], "big")
-    symbols, lengths = (np.stack(x) for x in zip(*(_lookup(t) for t in (first.tables[2:split], first.tables[split:]))))
+    # of each component the DC and the AC code
+    symbols, lengths = (np.stack(x) for x in zip(*(_lookup(t) for pair in first.tables for t in pair)))
+    parts, several = np.array(first.parts), len(first.tables)
     data, begins, blocks, owner, base = [], [], [], [], [0]
     filled = 0
     whole = np.ones(len(images), bool)
     for k, (header, raw) in enumerate(images):
         scan, at = _intervals(raw, header.scan_at)
-        each = header.interval or header.blocks
+        each = header.interval_blocks or header.blocks
         whole[k] = len(at) == -(-header.blocks // each)
         at = at[: -(-header.blocks // each)]
         data += [scan]
@@ -208,19 +257,21 @@ def decode_many(images: list[tuple[Header, bytes]]) -> list[np.ndarray | None]:
         window <<= 8
         window |= after
     bit, block, who = np.concatenate(begins) * 8, np.concatenate(blocks), np.concatenate(owner)
-    each = first.interval or 0
+    each = first.interval_blocks
     upto = np.array([base[k + 1] for k in range(len(images))])[who]
     if each:
         upto = np.minimum(upto, block + each)
     bit_end = filled * 8
     out = np.zeros((base[-1], BLOCK), np.int16)
-    coefficient, predicted = np.zeros(len(bit), np.int64), np.zeros(len(bit), np.int64)
+    coefficient, predicted = np.zeros(len(bit), np.int64), np.zeros(len(bit) * several, np.int64)
     live = np.flatnonzero(block < upto)
     while len(live):
         b, k = bit[live], coefficient[live]
         peek = (window[b >> 3] >> (8 - (b & 7))) & 0xFFFF
         kind = (k > 0).astype(np.int64)
-        symbol, length = symbols[kind, peek], lengths[kind, peek]
+        part = parts[block[live] % len(parts)] if several > 1 else 0
+        slot = live * several + part
+        symbol, length = symbols[2 * part + kind, peek], lengths[2 * part + kind, peek]
         run = np.where(kind == 1, symbol >> 4, 0)
         size = np.where(kind == 1, symbol & 15, np.minimum(symbol, 16))
         b = b + length
@@ -234,10 +285,11 @@ def decode_many(images: list[tuple[Header, bytes]]) -> list[np.ndarray | None]:
         rows = live[put]
         dc = kind[put] == 0
         value = value[put]
-        predicted[rows[dc]] += value[dc]
-        value[dc] = predicted[rows[dc]]
-        zero_dc = live[~bad & (kind == 0) & (size == 0)]
-        out[block[zero_dc], 0] = predicted[zero_dc]
+        sums = slot[put][dc]
+        predicted[sums] += value[dc]
+        value[dc] = predicted[sums]
+        zero_dc = ~bad & (kind == 0) & (size == 0)
+        out[block[live[zero_dc]], 0] = predicted[slot[zero_dc]]
         out[block[rows], place[put]] = value
         k = np.where(stop, 64, place + 1)
         over = k >= 64
@@ -255,9 +307,12 @@ def stored_bytes(header: Header, coefficients: np.ndarray) -> bytes:
 
 
 def thumbnail(header: Header, coefficients: np.ndarray) -> np.ndarray:
-    """The image at an eighth of its size: a sample per block, from its DC coefficient."""
-    across = -(-header.width // 8)
-    return np.clip(np.rint(coefficients[:, 0].astype(np.float64) * header.quant_dc / 8 + 128), 0, 255).astype(np.uint8).reshape(-1, across)
+    """The luminance at an eighth of its size: a sample per block, from its DC coefficient."""
+    (h, v), (rows, cols) = header.luma, header.shape
+    mine = np.flatnonzero(np.array(header.parts) == 0)
+    units = coefficients[:, 0].reshape(header.down, header.across, -1)[:, :, mine]
+    grid = units.reshape(header.down, header.across, v, h).transpose(0, 2, 1, 3).reshape(header.down * v, header.across * h)[:rows, :cols]
+    return np.clip(np.rint(grid.astype(np.float64) * header.quant_dc / 8 + 128), 0, 255).astype(np.uint8)
 
 
 def average_hash(thumb: np.ndarray) -> str:
@@ -304,7 +359,7 @@ def _features(media: list[bytes | None]) -> list[tuple]:
         if raw is not None:
             try:
                 header = parse_header(raw)
-                groups.setdefault((header.tables, header.interval), []).append((k, header))
+                groups.setdefault((header.tables, header.interval, header.parts), []).append((k, header))
             except (ValueError, IndexError, struct.error) as why:
                 out[k] = (None, None, None, len(raw), hashlib.sha256(raw).hexdigest(), None, None, None, f"bad: {why}")
     for members in groups.values():
@@ -315,7 +370,7 @@ def _features(media: list[bytes | None]) -> list[tuple]:
                 out[k] = (None, None, None, *stored, header.width, header.height, None, "bad: damaged scan")
                 continue
             payload = (None, None, None)
-            if header.comment.startswith(b"payload="):
+            if header.components == 1 and header.comment.startswith(b"payload="):
                 data = stored_bytes(header, coefficients)
                 payload = (len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-64:]))
             out[k] = (*payload, *stored, header.width, header.height, average_hash(thumbnail(header, coefficients)), "ok")
@@ -346,7 +401,7 @@ def features(media: DataFrame) -> DataFrame:
     """Reads a media column back: per row dimensions, thumbnail hash, digests of media and of what encode() stored.
 
     media has doc_id, n_bytes and media; other columns are ignored. A null or damaged image, or one that isn't a
-    baseline JPEG of one component, gets a status that says so and nulls. For foreign images payload columns are null.
+    baseline JPEG with luminance, gets a status that says so and nulls. For foreign images payload columns are null.
     """
     return media.select("doc_id", "n_bytes", "media").mapInArrow(_read_media, _FEATURES)
 

@@ -631,6 +631,65 @@ def test_a_foreign_jpeg_is_read():
     assert media.thumbnail(header, coefficients).tolist() == [[138, 132]]
 
 
+def colour_jpeg(width, height, sampling, interval, values, *, scan_order=(0, 1, 2), alone=False, adobe=None):
+    """A baseline JPEG of three components with the given DC values, per component an array of (rows, columns) of
+    blocks, written bit by bit. Luminance codes DC sizes in 4 bits, colour in 5 and with an AC coefficient in each."""
+    dc = [bytes([0] * (n - 1) + [9] + [0] * (16 - n)) + bytes(range(9)) for n in (4, 5)]
+    ac = [bytes([1] + [0] * 15) + b"\0", bytes([0, 2] + [0] * 14) + b"\0\x01"]
+    most = max(h for h, _ in sampling), max(v for _, v in sampling)
+    ways = [0] if alone else list(scan_order)
+    if alone:
+        h, v = sampling[0]
+        units = [[(0, y, x)] for y in range(-(-height * v // (8 * most[1]))) for x in range(-(-width * h // (8 * most[0])))]
+    else:
+        units = [
+            [(c, my * sampling[c][1] + y, mx * sampling[c][0] + x) for c in ways for y in range(sampling[c][1]) for x in range(sampling[c][0])]
+            for my in range(-(-height // (8 * most[1]))) for mx in range(-(-width // (8 * most[0])))
+        ]
+    step, scan = interval or len(units), []
+    for low in range(0, len(units), step):
+        bits, last = "", [0, 0, 0]
+        for c, y, x in (b for unit in units[low : low + step] for b in unit):
+            d = int(values[c][y][x]) - last[c]
+            last[c] += d
+            size = abs(d).bit_length()
+            bits += f"{size:0{4 + (c > 0)}b}" + (f"{d if d > 0 else d + (1 << size) - 1:0{size}b}" if size else "") + ("01" "1" "00" if c else "0")
+        bits += "1" * (-len(bits) % 8)
+        scan.append(int(bits, 2).to_bytes(len(bits) // 8, "big").replace(b"\xff", b"\xff\0"))
+    coded = b"".join(x + (bytes([0xFF, 0xD0 + k % 8]) if k < len(scan) - 1 else b"") for k, x in enumerate(scan))
+    seg = media._segment
+    frame = bytes([8]) + height.to_bytes(2, "big") + width.to_bytes(2, "big") + bytes([3]) + b"".join(bytes([c + 1, h * 16 + v, 0]) for c, (h, v) in enumerate(sampling))
+    names = bytes([len(ways)]) + b"".join(bytes([c + 1, 0x11 if c else 0]) for c in ways) + bytes([0, 63, 0])
+    parts = [seg(0xDB, b"\0" + b"\x02" * 64), seg(0xC0, frame), seg(0xC4, b"\0" + dc[0] + b"\x10" + ac[0] + b"\1" + dc[1] + b"\x11" + ac[1]), seg(0xDD, interval.to_bytes(2, "big"))]
+    if adobe is not None:
+        parts.insert(0, seg(0xEE, b"Adobe\0\x64\0\0\0\0" + bytes([adobe])))
+    return b"\xff\xd8" + b"".join(parts) + seg(0xDA, names) + coded + b"\xff\xd9"
+
+
+@pytest.mark.parametrize("interval", [0, 1, 3])
+@pytest.mark.parametrize("sampling", [((1, 1),) * 3, ((2, 2), (1, 1), (1, 1)), ((2, 1), (1, 1), (1, 1)), ((1, 2), (1, 1), (1, 2))])
+def test_colour_jpegs_give_luminance(sampling, interval):
+    rng = random.Random(f"{sampling}{interval}")
+    for width, height in ((24, 20), (1, 1), (70, 33)):
+        values = [[[rng.randrange(-120, 121) for _ in range(12)] for _ in range(12)] for _ in range(3)]
+        rows, cols = -(-height // 8), -(-width // 8)
+        want = [[int(min(255, max(0, round(values[0][y][x] * 2 / 8 + 128)))) for x in range(cols)] for y in range(rows)]
+        for more in ({}, {"scan_order": (2, 0, 1)}, {"alone": True}, {"adobe": 1}):
+            raw = colour_jpeg(width, height, sampling, interval, values, **more)
+            header = media.parse_header(raw)
+            coefficients = media.decode_many([(header, raw), (header, raw)])[1]
+            assert media.thumbnail(header, coefficients).tolist() == want
+    status = [x[-1] for x in media._features([raw, colour_jpeg(8, 8, sampling, 0, values, adobe=0), raw[:-4] + b"\xff\xd9"])]
+    assert status[0] == "ok" and status[1] == "bad: RGB, which has no luminance" and status[2].startswith("bad")
+
+
+def test_jpegs_without_size_are_bad():
+    good = media.encode(media.padded(b"x"))
+    frame = good.index(b"\xff\xc0") + 5
+    for size in (b"\0\0\0\x08", b"\0\x08\0\0", b"\xff\xff\xff\xff"):
+        assert media._features([good[:frame] + size + good[frame + 4 :]])[0][-1].startswith("bad")
+
+
 def test_damaged_media(spark):
     good = media.encode(media.padded(b"hello"))
     bad = [None, b"", b"junk", good[:40], good[:-6] + b"\xff\xd9", good.replace(b"\xff\xc0", b"\xff\xc2")]
