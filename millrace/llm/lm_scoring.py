@@ -1,18 +1,20 @@
 """Stupid-backoff scores of documents under the n-gram counts of the whole corpus.
 
 N-grams are 64-bit hashes. Documents are taken in blocks of up to BLOCK_TOKENS words; a block is a row that holds its
-documents' words packed. Order by order, blocks are exploded into rows (hash, ref, times): each distinct n-gram of the
+documents' words packed. Order by order, blocks are exploded into rows (hash, ref, block): each distinct n-gram of the
 block, its place in the block and how often it stands there. Rows are partitioned by hash once: a window over the hash is
 the count table and its join to the exploded n-grams. What comes out goes back to the blocks, a packed row per task and
 block, and a block scores its n-grams and sums per document.
 
 An n-gram that `min_count` keeps has a prefix and a suffix that are kept too, so the longer n-grams of a block without
-these need no row: their count can't be in the table. A frequent n-gram is one row per block, so no key is hot; the rows
-grow with the corpus, and what a task holds is a block or a sorted run.
+these need no row: their count can't be in the table. Which words end a kept n-gram is marked in the blocks once per
+order. A frequent n-gram is one row per block, so no key is hot; the rows grow with the corpus, and what a task holds is a
+block or a sorted run.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
@@ -23,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm._common import materialise, table
+from millrace.llm._common import drop_scratch, materialise, release_memory, table
 from millrace.llm.shingles import mix, text_chunks, word_hashes
 
 #: An n-gram that the corpus has once, in the document that is scored, is no evidence: two and more count.
@@ -65,7 +67,8 @@ def ngrams(words: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-_BLOCKS = "block bigint, doc_ids array<bigint>, sizes array<int>, vocabulary binary, tokens binary, n_tokens bigint"
+#: kept: a bit per word, set where an n-gram ends that the table of the last order keeps; null before there is one.
+_BLOCKS = "block bigint, doc_ids array<bigint>, sizes array<int>, vocabulary binary, tokens binary, n_tokens bigint, kept binary"
 
 
 def _blocks(batches: Iterable[pa.RecordBatch], block_tokens: int) -> Iterator[pa.RecordBatch]:
@@ -81,7 +84,7 @@ def _blocks(batches: Iterable[pa.RecordBatch], block_tokens: int) -> Iterator[pa
         rank[order] = np.arange(len(kinds), dtype=np.uint32)
         ids, sizes = [i for d, _, _ in held for i in d], np.concatenate([s for _, _, s in held])
         return pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())), pa.array([_pack(kinds[order])], pa.binary()), pa.array([_pack(rank[inverse])], pa.binary()), pa.array([len(words)], pa.int64())],
+            [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())), pa.array([_pack(kinds[order])], pa.binary()), pa.array([_pack(rank[inverse])], pa.binary()), pa.array([len(words)], pa.int64()), pa.array([None], pa.binary())],
             names=[x.split()[0] for x in _BLOCKS.split(", ")],
         )
 
@@ -128,42 +131,50 @@ def _placed(answers: list[dict], n: int, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-_ROWS = "hash bigint, block bigint, place int, times bigint"
+#: ref: how often the n-gram stands in the block, times 2**32, and its place; both are below a block's number of words.
+#: What differs from row to row stands together, which compresses better.
+_ROWS = "hash bigint, ref bigint, block bigint"
 
 
-_SCHEMA = pa.schema([("hash", pa.int64()), ("block", pa.int64()), ("place", pa.int32()), ("times", pa.int64())])
+_SCHEMA = pa.schema([("hash", pa.int64()), ("ref", pa.int64()), ("block", pa.int64())])
 
 
-def _exploded(row: dict, n: int, part_of: int, shorter: list[dict] | None) -> Iterator[pa.RecordBatch]:
-    """The rows of a block in a slice, places counted there; with the answers for n - 1 only those whose prefix and
-    suffix are kept."""
+def _exploded(row: dict, n: int, part_of: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a block in a slice, places counted there; of a marked block only those whose prefix and suffix are
+    kept."""
     words, first = _words_of(row)
     keys, possible, inverse = _kinds(words, first, n, part_of)
     times = np.bincount(inverse, minlength=len(keys))
     some = np.arange(len(keys))
-    if shorter is not None:
-        less, ends, place = _kinds(words, first, n - 1)
-        kept = np.zeros(len(words) + 1, bool)
-        kept[:-1][ends] = _placed(shorter, n - 1, less)[place] > 0
+    if row["kept"] is not None:
+        kept = np.unpackbits(_unpack(row["kept"], np.uint8), count=len(words)).astype(bool)
         both = np.zeros(len(keys), bool)
         at = np.flatnonzero(possible)
         both[inverse] = kept[at] & kept[at - 1]
         some = np.flatnonzero(both)
     for low in range(0, len(some), BATCH_ROWS):
         part = some[low : low + BATCH_ROWS]
-        yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), pa.array(np.full(len(part), row["block"])), pa.array(part.astype(np.int32)), pa.array(times[part].astype(np.int64))], schema=_SCHEMA)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), pa.array(times[part] << 32 | part), pa.array(np.full(len(part), row["block"]))], schema=_SCHEMA)
 
 
-def _rows(blocks: DataFrame, n: int, part_of: int, shorter: DataFrame | None) -> DataFrame:
-    if shorter is None:
-        return blocks.mapInArrow(lambda batches: (out for batch in batches for row in batch.to_pylist() for out in _exploded(row, n, part_of, None)), _ROWS)
+def _rows(blocks: DataFrame, n: int, part_of: int) -> DataFrame:
+    return blocks.mapInArrow(lambda batches: (out for batch in batches for row in batch.to_pylist() for out in _exploded(row, n, part_of)), _ROWS)
 
-    def run(mine: pa.Table, answers: pa.Table) -> pa.Table:
-        held = answers.to_pylist()
-        parts = [out for row in mine.to_pylist() for out in _exploded(row, n, part_of, held)]
-        return pa.Table.from_batches(parts, _SCHEMA)
 
-    return blocks.groupBy("block").cogroup(shorter.groupBy("block")).applyInArrow(run, _ROWS)
+def _marked(blocks: DataFrame, answers: DataFrame, n: int) -> DataFrame:
+    """The blocks with their words marked that end a kept n-gram."""
+
+    def run(mine: pa.Table, found: pa.Table) -> pa.Table:
+        held, marks = found.to_pylist(), []
+        for row in mine.to_pylist():
+            words, first = _words_of(row)
+            keys, possible, inverse = _kinds(words, first, n)
+            kept = np.zeros(len(words), bool)
+            kept[possible] = (_placed(held, n, keys) > 0)[inverse]
+            marks.append(_pack(np.packbits(kept)))
+        return mine.set_column(mine.schema.get_field_index("kept"), "kept", pa.array(marks, pa.binary()))
+
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, _BLOCKS)
 
 
 _ANSWERS = "block bigint, n int, slice int, places binary, counts binary"
@@ -174,8 +185,10 @@ def _packed(batches: Iterable[pa.RecordBatch], n: int, part_of: int) -> Iterator
 
     def flush(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         block, place, count = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in (0, 1, 2))
-        order = np.lexsort((place, block))
-        block, place, count = block[order], place[order], count[order]
+        place &= 0xFFFFFFFF
+        kinds, which = np.unique(block, return_inverse=True)
+        order = np.argsort(which << 32 | place)
+        block, place, count = kinds[which[order]], place[order], count[order]
         begins = np.flatnonzero(np.diff(block, prepend=block[0] - 1))
         ends = np.append(begins[1:], len(block))
         places = [_pack(np.diff(place[a:b].astype(np.uint32), prepend=np.uint32(0))) for a, b in zip(begins, ends)]
@@ -199,8 +212,17 @@ def _packed(batches: Iterable[pa.RecordBatch], n: int, part_of: int) -> Iterator
 def _answers(rows: DataFrame, n: int, part_of: int, min_count: int) -> DataFrame:
     """The exploded n-grams with their counts in the corpus, where these are kept. Count table and join are one window
     over the hash: an aggregate beside it would explode and shuffle the same rows once more."""
-    counted = rows.withColumn("count", F.sum("times").over(Window.partitionBy("hash"))).where(F.col("count") >= (min_count if n > 1 else 1))
-    return counted.select("block", "place", "count").mapInArrow(lambda b: _packed(b, n, part_of), _ANSWERS)
+    counted = rows.withColumn("count", F.sum(F.shiftright("ref", 32)).over(Window.partitionBy("hash"))).where(F.col("count") >= (min_count if n > 1 else 1))
+    return counted.select("block", "ref", "count").mapInArrow(lambda b: _packed(b, n, part_of), _ANSWERS)
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """materialise(), after which the shuffle files of df are gone too: the listeners' queue holds the query that ended
+    last, with its shuffles, until another one has ended."""
+    out = materialise(df, label)
+    df.sparkSession.sql("SELECT 1").collect()
+    release_memory(df.sparkSession)
+    return out
 
 
 _SCORES = "doc_id bigint, n_words bigint, log_prob double"
@@ -235,12 +257,15 @@ def score_documents(docs: DataFrame, *, order: int = ORDER, min_count: int = MIN
     all documents. Null and empty texts have 0 words, log_prob 0 and a null mean. Repeated rows count as often as they
     stand; a null doc_id stays null; an empty table stays empty. Other columns are ignored.
     """
-    blocks = materialise(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lambda b: _blocks(b, block_tokens), _BLOCKS), "lm-blocks")
+    blocks = _stored(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lambda b: _blocks(b, block_tokens), _BLOCKS), "lm-blocks")
     total = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     answers: list[DataFrame] = []
     for n in range(1, order + 1):
-        shorter = reduce(DataFrame.unionAll, answers[-SLICES:]) if n > 2 and min_count > 1 else None
-        answers += [materialise(_answers(_rows(blocks, n, k, shorter), n, k, min_count), f"lm-answers{n}") for k in range(SLICES)]
+        answers += [_stored(_answers(_rows(blocks, n, k), n, k, min_count), f"lm-answers{n}") for k in range(SLICES)]
+        if 1 < n < order and min_count > 1:
+            unmarked, blocks = blocks, _stored(_marked(blocks, reduce(DataFrame.unionAll, answers[-SLICES:]), n), "lm-blocks")
+            for where in {os.path.dirname(x) for x in unmarked.inputFiles()}:
+                drop_scratch(docs.sparkSession, where)
     every = reduce(DataFrame.unionAll, answers)
     scored = blocks.groupBy("block").cogroup(every.groupBy("block")).applyInArrow(lambda b, a: _scores(b, a, order, backoff, total), _SCORES)
     return scored.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))

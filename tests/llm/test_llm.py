@@ -4,8 +4,10 @@ import hashlib
 import itertools
 import json
 import math
+import os
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -492,6 +494,33 @@ def test_lm_scores(spark, order, block):
     assert lm_scoring.score_documents(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_lm_shuffles_go_before_the_next(spark, monkeypatch):
+    """When a slice begins, the rows of the one before are no longer on the disk."""
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = [x for x in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x and os.path.exists(x)]
+        return {x: os.path.getsize(x) for x in files}
+
+    others, left, most, real = set(shuffled()), [], [], lm_scoring.materialise
+
+    def size():
+        return sum(n for x, n in shuffled().items() if x not in others)
+
+    def watched(df, label, **k):
+        until = time.monotonic() + 5  # the cleaner runs beside
+        while size() > 5_000 and time.monotonic() < until:
+            time.sleep(0.1)
+        left.append(size())
+        out = real(df, label, **k)
+        most.append(size())
+        return out
+
+    monkeypatch.setattr(lm_scoring, "materialise", watched)
+    lm_scoring.score_documents(documents(spark).limit(200))
+    assert max(most) > 50_000 and max(left) <= 5_000
+
+
 # -- chats -------------------------------------------------------------------------------------------------------------
 
 
