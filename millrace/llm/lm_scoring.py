@@ -3,8 +3,9 @@
 N-grams are 64-bit hashes. Documents are taken in blocks of up to BLOCK_TOKENS words; a block is a row that holds its
 documents' words packed. Order by order, blocks are exploded into rows (hash, ref, block): each distinct n-gram of the
 block, its place in the block and how often it stands there. Rows are partitioned by hash once: a window over the hash is
-the count table and its join to the exploded n-grams. What comes out goes back to the blocks, a packed row per task and
-block, and a block scores its n-grams and sums per document.
+the count table and its join to the exploded n-grams. What comes out goes back to the blocks, row by row and dealt by
+block, and only there is it packed, so the packed rows grow with the corpus and not with blocks times tasks; a block
+scores its n-grams and sums per document.
 
 An n-gram that `min_count` keeps has a prefix and a suffix that are kept too, so the longer n-grams of a block without
 these need no row: their count can't be in the table. Which words end a kept n-gram is marked in the blocks once per
@@ -211,9 +212,11 @@ def _packed(batches: Iterable[pa.RecordBatch], n: int, part_of: int) -> Iterator
 
 def _answers(rows: DataFrame, n: int, part_of: int, min_count: int) -> DataFrame:
     """The exploded n-grams with their counts in the corpus, where these are kept. Count table and join are one window
-    over the hash: an aggregate beside it would explode and shuffle the same rows once more."""
+    over the hash: an aggregate beside it would explode and shuffle the same rows once more. They are dealt by block
+    before they are packed; a block with very many may be split, as its packed rows need not be one."""
     counted = rows.withColumn("count", F.sum(F.shiftright("ref", 32)).over(Window.partitionBy("hash"))).where(F.col("count") >= (min_count if n > 1 else 1))
-    return counted.select("block", "ref", "count").mapInArrow(lambda b: _packed(b, n, part_of), _ANSWERS)
+    dealt = counted.select("block", "ref", "count").hint("rebalance", F.col("block"))
+    return dealt.mapInArrow(lambda b: _packed(b, n, part_of), _ANSWERS)
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:

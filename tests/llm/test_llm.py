@@ -494,6 +494,23 @@ def test_lm_scores(spark, order, block):
     assert lm_scoring.score_documents(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_lm_answers_grow_with_the_blocks_alone(spark, monkeypatch):
+    """A packed row per block, order and slice, however many tasks have counted its n-grams."""
+    stored, real = [], lm_scoring.materialise
+    monkeypatch.setattr(lm_scoring, "materialise", lambda df, label, **k: stored.append((label, real(df, label, **k))) or stored[-1][1])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        lm_scoring.score_documents(documents(spark).repartition(3, "doc_id"), block_tokens=2000)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    answers = [df.select("block").collect() for label, df in stored if label.startswith("lm-answers")]
+    assert len(answers) == lm_scoring.ORDER * lm_scoring.SLICES and max(map(len, answers)) > 1
+    assert all(len(rows) == len(set(rows)) for rows in answers)
+
+
 def test_lm_shuffles_go_before_the_next(spark, monkeypatch):
     """When a slice begins, the rows of the one before are no longer on the disk."""
     disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
