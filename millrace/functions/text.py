@@ -43,6 +43,17 @@ def missing_to_null(cell: Column | str) -> Column:
     return F.when(~_c(cell).isin(*MISSING_CELLS), _c(cell))
 
 
+def text_cell(text: Column | str) -> Column:
+    """A text as a cell that is not missing: backslashes and one of MISSING_CELLS get one more backslash before them."""
+    return F.when(F.ltrim(_c(text), F.lit("\\")).isin(*MISSING_CELLS), F.concat(F.lit("\\"), _c(text))).otherwise(_c(text))
+
+
+def cell_text(cell: Column | str) -> Column:
+    """The text of a cell that text_cell made."""
+    marked = _c(cell).startswith("\\") & F.ltrim(_c(cell), F.lit("\\")).isin(*MISSING_CELLS)
+    return F.when(marked, F.substr(_c(cell), F.lit(2))).otherwise(_c(cell))
+
+
 #: How chat turns begin and end, and the roles that may follow a beginning.
 CHAT_MARKS = ("|im_start", "|im_end")
 CHAT_ROLES = ("system", "user", "assistant")

@@ -568,15 +568,15 @@ def question_answers(spark, sf_dir):
 SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE text END AS sample, lang AS category FROM documents
 UNION ALL SELECT doc_id, 'x,"y"' || chr(10) || 'z', NULL FROM documents WHERE doc_id % 10 = 0""")
 def csv_round_trip(spark, sf_dir):
-    """Two appends to a CSV artifact, read back with the missing cells as null."""
+    """Two appends to a CSV artifact, read back with the missing cells as null and the texts that look like one as they were."""
     from millrace.sources import artifacts
     from millrace.sources.scratch import scratch_folder
 
     path, schema = scratch_folder(spark, "csv"), "doc_id bigint, sample string, category string"
     docs = _table(spark, sf_dir, "documents")
-    artifacts.append_rows(docs.select("doc_id", F.when(F.col("doc_id") % 4 == 0, "NaN").otherwise(F.col("text")).alias("sample"), F.col("lang").alias("category")), path, schema)
+    artifacts.append_rows(docs.select("doc_id", F.when(F.col("doc_id") % 4 == 0, "NaN").otherwise(text.text_cell("text")).alias("sample"), text.text_cell("lang").alias("category")), path, schema)
     artifacts.append_rows(docs.where("doc_id % 10 = 0").select("doc_id", F.lit('x,"y"\nz').alias("sample")), path, schema)
-    return artifacts.read_rows(spark, path, schema, na_to_null=True)
+    return artifacts.read_rows(spark, path, schema, na_to_null=True, text_cells=True)
 
 
 @query("SELECT d.doc_id, lang AS category FROM documents d JOIN labels l USING (doc_id) WHERE quality = 1 AND lang = 'en'")

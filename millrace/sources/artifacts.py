@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.text import missing_to_null
+from millrace.functions.text import cell_text, missing_to_null
 
-_CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+# left to itself Spark's writer cuts blanks and control characters off both ends of a cell, and its reader takes the NUL
+# characters of a quoted cell for escapes
+_CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "charToEscapeQuoteEscaping": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 #: Columns of a sample, in order.
 SAMPLE_COLUMNS = ("sample_id", "sample", "category", "subcategory", "entry_type", "turn", "accepted", "rejection_reason", "source")
@@ -36,9 +38,10 @@ def _missing(error: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in str(error)
 
 
-def read_rows(spark: SparkSession, path: str, schema: str | T.StructType | None = None, *, columns: list[str] | None = None, na_to_null: bool = False) -> DataFrame:
+def read_rows(spark: SparkSession, path: str, schema: str | T.StructType | None = None, *, columns: list[str] | None = None, na_to_null: bool = False, text_cells: bool = False) -> DataFrame:
     """A CSV artifact; all columns are text without a schema. A missing path is an empty table of the schema. With
-    na_to_null the cells of MISSING_CELLS become null. Columns are pruned by the scan."""
+    na_to_null the cells of MISSING_CELLS become null; with text_cells those that text_cell made are texts again. Columns
+    are pruned by the scan."""
     try:
         rows = (spark.read.schema(schema) if schema is not None else spark.read).csv(path, **_CSV)
         rows = rows.withColumnRenamed(rows.columns[0], rows.columns[0].lstrip("﻿")) if rows.columns else rows
@@ -50,6 +53,8 @@ def read_rows(spark: SparkSession, path: str, schema: str | T.StructType | None
         rows = rows.select(*columns)
     if na_to_null:
         rows = rows.select(*[missing_to_null(c).alias(c) if kind == "string" else F.col(c) for c, kind in rows.dtypes])
+    if text_cells:
+        rows = rows.select(*[cell_text(c).alias(c) if kind == "string" else F.col(c) for c, kind in rows.dtypes])
     return rows
 
 

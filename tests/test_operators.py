@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.techniques import LAYER_CAPS, all_techniques, compatible, registry_frame, technique_pool
+from millrace.functions.text import text_cell
 from millrace.operators import conversations, generation, model_steps, planning, relational, search, telemetry
 from millrace.operators.ledger import Ledger, Locked, finished_lines
 from millrace.plans import recipe
@@ -182,6 +183,15 @@ def test_csv_artifacts(spark, tmp_path):
         artifacts.append_rows(rows.withColumn("other", F.lit(1)), path, schema)
 
 
+def test_csv_cells_keep_blanks_and_marked_texts(spark, tmp_path):
+    path, texts = str(tmp_path / "a"), [" a ", "\r", '\x00"', "nan", "\\nan", "", " ", "\n"]
+    rows = spark.createDataFrame([(t or "-", t) for t in texts], "plain string, marked string")
+    artifacts.append_rows(rows.select("plain", text_cell("marked").alias("marked")), path, "plain string, marked string")
+    assert sorted(r.plain for r in artifacts.read_rows(spark, path, "plain string, marked string").collect()) == sorted(t or "-" for t in texts)
+    back = artifacts.read_rows(spark, path, "plain string, marked string", na_to_null=True, text_cells=True)
+    assert sorted(r.marked for r in back.collect()) == sorted(texts)
+
+
 def test_tree_and_taxonomy(spark, tmp_path):
     path, schema = str(tmp_path / "t"), "sample string, accepted boolean, category string"
     assert artifacts.discover_categories(spark, path, schema) == []

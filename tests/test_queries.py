@@ -31,3 +31,14 @@ def test_query(spark, duck, name):
         assert rows_of(got) == rows_of(want)
     else:
         assert len(got) > 0
+
+
+def test_csv_round_trip_of_odd_texts(spark, tmp_path):
+    """Blanks at the ends, line ends and texts that look like missing cells, in every column of text."""
+    odd = ["", " ", "  a", "a \n", "\ta", "\r\n", "\ra", "\x01a", '\x00"\x00\n', "NaN", "null", "\\NaN", "\\", "\\\\", ' "q" ', '"', "a\\", None]
+    rows = [(4 * k + at, text, odd[(k + at) % len(odd)]) for k, text in enumerate(odd) for at in range(4)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog.QUERIES["csv_round_trip"](spark, str(tmp_path)).toPandas()
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        assert rows_of(got) == rows_of(con.execute(catalog.ORACLES["csv_round_trip"]).df())
