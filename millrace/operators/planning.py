@@ -164,5 +164,7 @@ def short_layers(planned: DataFrame, registry: DataFrame, rates: dict[str, float
     sizes = planned.groupBy(*groups).agg(F.count(F.lit(1)).alias("units"))
     goal = F.explode(F.create_map(*[F.lit(x) for pair in (rates or {k: v for k, v in LAYER_RATES.items() if k != "request_obfuscation"}).items() for x in pair])).alias("layer", "rate")
     picks = planned.select(*groups, F.explode("combination").alias("technique")).join(registry.select("technique", "layer"), "technique").groupBy(*groups, "layer").agg(F.count(F.lit(1)).alias("n"))
-    targets = sizes.select(*groups, "units", goal).withColumn("target", F.floor(F.col("rate") * F.col("units")))
+    # as decimals: 0.7 of 90 units is 63, in doubles 62.99…
+    due_picks = F.col("rate").cast("decimal(18,16)") * F.col("units").cast("decimal(19,0)")
+    targets = sizes.select(*groups, "units", goal).withColumn("target", F.floor(due_picks).cast("bigint"))
     return targets.join(picks, [*groups, "layer"], "left").withColumn("n", F.coalesce("n", F.lit(0))).where(F.col("target") - F.col("n") >= short)

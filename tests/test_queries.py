@@ -42,3 +42,13 @@ def test_csv_round_trip_of_odd_texts(spark, tmp_path):
     with duckdb.connect() as con:
         con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
         assert rows_of(got) == rows_of(con.execute(catalog.ORACLES["csv_round_trip"]).df())
+
+
+def test_short_layers_of_groups_whose_target_is_whole(spark, tmp_path):
+    """0.7 of 90, 170, 180, 330 and 1,310 units are whole numbers that doubles miss."""
+    rows = [(n * 10_000 + k, f"g{n}", "s") for n in (90, 170, 180, 330, 1310, 89, 91) for k in range(n)]
+    spark.createDataFrame(rows, "doc_id bigint, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog.QUERIES["short_layers"](spark, str(tmp_path)).toPandas()
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        assert rows_of(got) == rows_of(con.execute(catalog.ORACLES["short_layers"]).df())
